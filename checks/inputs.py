@@ -302,8 +302,8 @@ FROM {supplier} WHERE s_suppkey % 13 <> 0"""
         narrow = (F.col("doc_id") % 2 == 1) & ~single.rlike(r"[^\x00-\xff]") & ~text.rlike(r"[\x80-\x9f]")
         return self.table("documents").select(
             F.concat(F.lit("docs/d"), "doc_id", F.lit(".htm")).alias("path"),
-            F.when(narrow, F.encode(F.when(narrow, single), F.lit("ISO-8859-1")))
-            .otherwise(F.encode(text, F.lit("UTF-8")))
+            F.when(narrow, F.encode(F.when(narrow, single), "ISO-8859-1"))
+            .otherwise(F.encode(text, "UTF-8"))
             .alias("content"),
         )
 

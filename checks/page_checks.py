@@ -10,6 +10,7 @@ from checks.registry import check
 from lexiframe.functions.text import collapse, tidy_lines
 from lexiframe.functions.html import compose
 from lexiframe.operators import dictionary, pages, relational
+from lexiframe.plans.storage import stored
 from lexiframe.sources.pages import decode_pages, module_pages, resolve_pages
 
 
@@ -59,13 +60,13 @@ UNION ALL SELECT NULL, 'c1.htm' FROM {s}""",
 @check(
     "page_rows",
     """
-SELECT 't' || s_suppkey || 'tbl.htm' AS filename, CAST(row_number() OVER (PARTITION BY s_suppkey ORDER BY at) - 1 AS INT) AS row_no,
+SELECT 't' || s_suppkey || 'tbl.htm' AS filename, CAST(row_number() OVER (PARTITION BY s_suppkey ORDER BY k) - 1 AS INT) AS row_no,
   '0' AS in_table, text AS row_text, CAST(cells AS INT) AS cells, links
-FROM (SELECT s_suppkey, unnest([1, 2, 3, 4, 5, 6, 7, 8, 9]) AS at,
+FROM (SELECT s_suppkey, unnest([1, 2, 3, 4, 5, 6, 7, 8, 9]) AS k,
     unnest(['Indexes', 'k-0', ' ', 'Field', 'c1x', 'c2', '', 'Triggers:', 'Create p' || s_suppkey || '.p ']) AS text,
     unnest([1, 1, 1, 1, 2, 1, 1, 1, 3]) AS cells,
     unnest(['', 't' || s_suppkey || '_k-0.htm', '', '', 't' || s_suppkey || '_c1.htm,x.pdf', 't' || s_suppkey || '_c2.HTM', '', '', '']) AS links
-  FROM supplier) r WHERE at <> 2 OR s_suppkey % 4 <> 0""",
+  FROM supplier) r WHERE k <> 2 OR s_suppkey % 4 <> 0""",
 )
 def page_rows(inputs: Inputs) -> DataFrame:
     return pages.page_rows(pages.shred(inputs.table_pages)).select(
@@ -84,7 +85,7 @@ def _raw_pages(inputs: Inputs) -> DataFrame:
 
 @check(
     "page_titles",
-    "SELECT page_id, trim(regexp_extract(html, '<title>(.*?)</title>', 1)) AS title FROM pages",
+    "SELECT page_id, replace(trim(regexp_extract(html, '<title>(.*?)</title>', 1)), '&amp;', '&') AS title FROM pages",
 )
 def page_titles(inputs: Inputs) -> DataFrame:
     return pages.page_titles(pages.shred(_raw_pages(inputs))).select("page_id", "title")
@@ -93,9 +94,9 @@ def page_titles(inputs: Inputs) -> DataFrame:
 @check(
     "page_links",
     """
-SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY at) - 1 AS INT) AS link_pos,
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INT) AS link_pos,
   regexp_extract(href, '([^/]*)$', 1) AS link_name, href AS link_path
-FROM (SELECT page_id, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS at
+FROM (SELECT page_id, unnest(hrefs) AS href, unnest(range(len(hrefs))) AS k
   FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS hrefs FROM pages) p) l
 WHERE href LIKE '%.'""",
 )
@@ -196,8 +197,8 @@ def clean_annotations(inputs: Inputs) -> DataFrame:
 
 
 _FIELD_LINKS = """
-SELECT s_suppkey, CAST(floor(s_suppkey / 50) AS BIGINT) AS b, at, s_suppkey * 20 - 19 + at AS p, (s_suppkey * 20 - 19 + at) % 10 <> 3 AS found
-FROM supplier, (SELECT CAST(unnest(range(20)) AS INT) AS at) a WHERE s_suppkey % 13 <> 0"""
+SELECT s_suppkey, CAST(floor(s_suppkey / 50) AS BIGINT) AS b, k, s_suppkey * 20 - 19 + k AS p, (s_suppkey * 20 - 19 + k) % 10 <> 3 AS found
+FROM supplier, (SELECT CAST(unnest(range(20)) AS INT) AS k) a WHERE s_suppkey % 13 <> 0"""
 
 
 def _tables(inputs: Inputs) -> DataFrame:
@@ -216,7 +217,11 @@ def _tables(inputs: Inputs) -> DataFrame:
         FROM ({_FIELD_LINKS}) l GROUP BY s_suppkey) f ON f.s_suppkey = s.s_suppkey""",
 )
 def dictionary_tables(inputs: Inputs) -> DataFrame:
-    return _tables(inputs).select(
+    return flat_dictionary(_tables(inputs))
+
+
+def flat_dictionary(tables: DataFrame) -> DataFrame:
+    return tables.select(
         "module_code",
         "module_title",
         "table_name",
@@ -247,12 +252,17 @@ def failed_tables(inputs: Inputs) -> DataFrame:
     return dictionary.failed_tables(_tables(inputs))
 
 
+def _stored_tables(inputs: Inputs) -> DataFrame:
+    """The dictionary as a stored table: annotation reads it several times."""
+    return stored(_tables(inputs), "dictionary")
+
+
 def _links(inputs: Inputs) -> DataFrame:
-    return dictionary.annotation_links(_tables(inputs), inputs.corpus)
+    return dictionary.annotation_links(_stored_tables(inputs), inputs.corpus)
 
 
 _FIELDS = f"""
-SELECT 'MOD' || b AS module_code, 't' || s_suppkey AS table_id, 'c' || p AS field_name, at AS field_pos, trim(p_name) AS label,
+SELECT 'MOD' || b AS module_code, 't' || s_suppkey AS table_id, 'c' || p AS field_name, k AS field_pos, trim(p_name) AS label,
   trim(p_type) AS type, 'm' || p_size AS val_msg, 'k-' || p_size AS indexes, trim(p_type) || chr(10) || trim(p_brand) AS description,
   CASE WHEN p % 3 = 0 THEN '1 = ' || trim(p_name) ELSE '' END AS content
 FROM ({_FIELD_LINKS}) l JOIN part ON p_partkey = p WHERE found"""
@@ -260,7 +270,11 @@ FROM ({_FIELD_LINKS}) l JOIN part ON p_partkey = p WHERE found"""
 
 @check("annotate_fields", _FIELDS)
 def annotate_fields(inputs: Inputs) -> DataFrame:
-    return dictionary.annotate_fields(_links(inputs)).select(
+    return flat_fields(dictionary.annotate_fields(_links(inputs)))
+
+
+def flat_fields(fields: DataFrame) -> DataFrame:
+    return fields.select(
         "module_code", "table_id", "field_name", "field_pos", "label", "type", "val_msg",
         _joined("indexes").alias("indexes"), "description", "content",
     )
@@ -274,9 +288,9 @@ def annotate_fields(inputs: Inputs) -> DataFrame:
       FROM ({_FIELD_LINKS}) l""",
 )
 def annotate_audit(inputs: Inputs) -> DataFrame:
-    return dictionary.annotate_audit(
-        dictionary.dictionary_modules(inputs.corpus), _tables(inputs), _links(inputs)
-    )
+    tables = _stored_tables(inputs)
+    links = dictionary.annotation_links(tables, inputs.corpus)
+    return dictionary.annotate_audit(dictionary.dictionary_modules(inputs.corpus), tables, links)
 
 
 # The relational model built from these pages ------------------------------------------------

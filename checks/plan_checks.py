@@ -18,6 +18,7 @@ from lexiframe.constants import (
 from lexiframe.functions.richtext import description_matches
 from lexiframe.operators import patch, reconcile, scope
 from lexiframe.operators.reconcile import Plan, PlanOptions
+from lexiframe.plans.storage import stored
 from lexiframe.operators.source_model import relational_columns, relational_tables
 
 
@@ -59,6 +60,11 @@ def build_plan(inputs: Inputs, options: PlanOptions = OPTIONS) -> Plan:
     )
 
 
+def stored_writes(inputs: Inputs) -> DataFrame:
+    """Rows to be written, stored as an apply job stores its plan: they are read several times."""
+    return stored(build_plan(inputs).writes, "plan")
+
+
 def options_with(**changes: object) -> PlanOptions:
     return PlanOptions(
         service=SERVICE, database=DATABASE, schema=SCHEMA, source_prefix=PREFIX, **changes
@@ -365,7 +371,7 @@ WHERE c.table_fqn IN (SELECT table_fqn FROM writes WHERE is_column)"""
 @check("patch_payload", over_plan(_PAYLOAD))
 def patch_payload(inputs: Inputs) -> DataFrame:
     """Column objects are taken apart again, to see that foreign keys are still there."""
-    rows = patch.patch_payload(build_plan(inputs).writes, inputs.cat_columns)
+    rows = patch.patch_payload(stored_writes(inputs), inputs.cat_columns)
     value, member = F.col("value"), F.col("member")
     inside = lambda path: F.when(member == "columns", F.get_json_object(value, path))
     return rows.select(
@@ -400,13 +406,13 @@ _WRITTEN = "(SELECT table_fqn FROM writes)"
 
 @check("backup_tables", over_plan(f"SELECT table_fqn, name, display_name, description FROM cat_tables WHERE table_fqn IN {_WRITTEN}"))
 def backup_tables(inputs: Inputs) -> DataFrame:
-    tables, _ = patch.backup_tables(build_plan(inputs).writes, inputs.cat_tables, inputs.cat_columns)
+    tables, _ = patch.backup_tables(stored_writes(inputs), inputs.cat_tables, inputs.cat_columns)
     return tables.select("table_fqn", "name", "display_name", "description")
 
 
 @check("backup_columns", over_plan(f"SELECT table_fqn, ordinal, name, display_name, description FROM cat_columns WHERE table_fqn IN {_WRITTEN}"))
 def backup_columns(inputs: Inputs) -> DataFrame:
-    _, columns = patch.backup_tables(build_plan(inputs).writes, inputs.cat_tables, inputs.cat_columns)
+    _, columns = patch.backup_tables(stored_writes(inputs), inputs.cat_tables, inputs.cat_columns)
     return columns.select("table_fqn", "ordinal", "name", "display_name", "description")
 
 
@@ -429,7 +435,7 @@ def _snapshot(tables: DataFrame, columns: DataFrame) -> DataFrame:
 
 @check("apply_patches", over_plan(_APPLIED))
 def apply_patches(inputs: Inputs) -> DataFrame:
-    writes = build_plan(inputs).writes
+    writes = stored_writes(inputs)
     return _snapshot(*patch.apply_patches(writes, inputs.cat_tables, inputs.cat_columns))
 
 
@@ -440,7 +446,7 @@ def _checked(inputs: Inputs) -> DataFrame:
     seventh their description; column 1 of every thirteenth table is gone. Other descriptions
     come back as rich text.
     """
-    writes = build_plan(inputs).writes
+    writes = stored_writes(inputs)
     tables, columns = patch.apply_patches(writes, inputs.cat_tables, inputs.cat_columns)
     number = F.regexp_extract("table_fqn", "([0-9]+)$", 1).cast("bigint")
     rich = F.concat(F.lit("<p>"), F.replace("description", F.lit("\n"), F.lit("<br/>")), F.lit(" &nbsp;</p>"))
@@ -451,7 +457,7 @@ def _checked(inputs: Inputs) -> DataFrame:
             "description": F.when((number % 7 == 0) & (at == 3), "wrong").otherwise(rich),
         }
     )
-    return patch.verify_patches(writes, tables, broken)
+    return stored(patch.verify_patches(writes, tables, broken), "checks")
 
 
 _NUMBER = "CAST(regexp_extract(table_fqn, '([0-9]+)$', 1) AS BIGINT)"

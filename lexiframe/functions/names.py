@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,9 +28,9 @@ def base_name(path: Column) -> Column:
 
 
 def stem(path: Column) -> Column:
-    """Last path component without its last suffix."""
-    short = F.regexp_replace(base_name(path), r"(?s)(?<=.)\.[^.]+\z", "")
-    return F.when(F.contains(path, F.lit(".")) | F.contains(path, F.lit("/")), short).otherwise(path)
+    """Last path component without its last suffix, from one look at the text."""
+    whole = r"([^/]+?)(?:\.[^./]+)?"
+    return F.regexp_extract(path, rf"(?<![^/])(?:\.(?=(?:/\.?)*\z)|{whole}|)(?:/\.?)*\z", 1)
 
 
 def join_path(folder: Column, relative: Column) -> Column:
@@ -37,37 +39,41 @@ def join_path(folder: Column, relative: Column) -> Column:
     return F.regexp_replace(tidy, r"(?<=[^/])/\.?\z", "")
 
 
-def drop_prefix(value: Column, prefix: Column) -> Column:
-    rest = value.substr(F.length(prefix) + 1, F.length(value))
-    return F.when(value.startswith(prefix), rest).otherwise(value)
+# A rule that names its argument several times repeats the work below it wherever Spark moves the
+# expression, for instance into a pushed-down filter. Prefix rules name it once.
 
 
 def normalize_table_name(code: Column, prefix: str = DEFAULT_PREFIX) -> Column:
-    name = clean_identifier(code)
-    return (
-        F.when(name == "", "")
-        .when(name.startswith(prefix.lower()), name)
-        .otherwise(F.concat(F.lit(prefix), name))
-    )
+    start = rf"(?s)\A(?=.)(?!{re.escape(prefix.lower())})"
+    escaped = prefix.replace("\\", r"\\").replace("$", r"\$")
+    return F.regexp_replace(clean_identifier(code), start, escaped)
 
 
 def normalize_table_code(code: Column, prefix: str = DEFAULT_PREFIX) -> Column:
-    return drop_prefix(clean_identifier(code), F.lit(prefix.lower()))
+    return F.regexp_replace(clean_identifier(code), rf"\A{re.escape(prefix.lower())}", "")
 
 
-def without_table_prefix(column: Column, table: Column) -> Column:
-    return drop_prefix(column, F.concat(table, F.lit("_")))
+def drop_prefix(value: Column, prefix: Column) -> Column:
+    """`value` without `prefix`: both behind each other, cut at the repetition."""
+    return F.regexp_replace(
+        F.concat(prefix, F.lit("\0"), value), r"\A([^\x00]*)\x00(?:\1)?", ""
+    )
+
+
+def without_table_prefix(name: Column, table: Column, given: Column | None = None) -> Column:
+    """Cut `table_` off; nothing is cut where the table as given is null or empty."""
+    prefix = F.concat(table, F.lit("_"))
+    if given is not None:
+        prefix = F.when(given != "", prefix).otherwise("")
+    return drop_prefix(name, prefix)
 
 
 def normalize_column_name(column: Column, table_code: Column | None = None) -> Column:
-    """File stem first, then the identifier rule, then the table prefix."""
+    """File stem first, then the identifier rule, then the prefix of a nonblank table."""
     name = clean_identifier(stem(column))
     if table_code is None:
         return name
-    table = clean_identifier(table_code)
-    return F.when(F.coalesce(table_code, F.lit("")) == "", name).otherwise(
-        without_table_prefix(name, table)
-    )
+    return without_table_prefix(name, clean_identifier(table_code), table_code)
 
 
 def normalize_field_name(field: Column, table: Column) -> Column:
@@ -80,14 +86,10 @@ def build_table_fqn(service: Column, database: Column, schema: Column, table: Co
 
 
 def clean_table_label(table_code: Column, title: Column) -> Column:
-    """Title without a leading `CODE -` or `CODE:`."""
-    text = clean_text(title)
+    """Title without a leading `CODE -` or `CODE:`, unless nothing would be left."""
     code = F.upper(clean_identifier(table_code))
-    size = F.length(code)
-    rest = F.ltrim(text.substr(size + 1, F.length(text)))
-    label = F.ltrim(rest.substr(F.lit(2), F.length(rest)))
-    has_code = F.lower(text.substr(F.lit(1), size)) == F.lower(code)
-    return F.when(has_code & rest.rlike("^[-:]") & (label != ""), label).otherwise(text)
+    both = F.concat(code, F.lit("\0"), clean_text(title))
+    return F.regexp_replace(both, r"(?isu)\A([^\x00]*)\x00(?:\1 *[-:] *(?=.))?", "")
 
 
 def plain_default(name: Column) -> Column:
@@ -129,10 +131,7 @@ def is_default_column_display_name(current: Column, physical_name: Column) -> Co
 
 
 def clean_index_name(filename: Column, table_id: Column) -> Column:
-    name = F.lower(stem(filename))
-    return F.when(F.coalesce(table_id, F.lit("")) == "", name).otherwise(
-        without_table_prefix(name, F.lower(table_id))
-    )
+    return without_table_prefix(F.lower(stem(filename)), F.lower(table_id), table_id)
 
 
 def parse_flag(value: Column) -> Column:

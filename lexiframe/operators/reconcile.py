@@ -213,10 +213,10 @@ def unmatched_tables(src_tables: DataFrame, matched: DataFrame, options: PlanOpt
     return planned.join(matched.select("table_code"), "table_code", "left_anti").select("table_code")
 
 
-def unmatched_columns(columns: DataFrame) -> DataFrame:
-    """`code.column` of the rows of `plan_columns` that found no catalogue column."""
-    return columns.filter(F.col("catalog_name").isNull()).select(
-        F.concat_ws(".", "table_code", "column_name").alias("column_ref")
+def unmatched_columns(detail: DataFrame) -> DataFrame:
+    """`code.column` of the rows of `plan_detail` that found no catalogue column."""
+    return detail.filter(~F.col("is_matched")).select(
+        F.concat_ws(".", "table_code", "source_column").alias("column_ref")
     )
 
 
@@ -280,7 +280,9 @@ def _decided(frame: DataFrame, options: PlanOptions, is_default: Column, decide_
 def plan_detail(matched: DataFrame, columns: DataFrame, options: PlanOptions) -> DataFrame:
     """Plan rows with the order, place and presence columns that patches need.
 
-    Table rows decide on the source text, column rows on the formatted text.
+    Table rows decide on the source text, column rows on the formatted text. Source columns that
+    found no catalogue column stay in, with `is_matched` false, so that one pass serves the plan
+    and the list of unmatched columns.
     """
     physical = F.coalesce("catalog_name", "warehouse_table_name")
     of_tables = _decided(
@@ -300,10 +302,9 @@ def plan_detail(matched: DataFrame, columns: DataFrame, options: PlanOptions) ->
         F.lit(None).cast("int").alias("ordinal"),
         F.col("has_display_name").alias("replaces_display_name"),
         F.col("has_description").alias("replaces_description"),
+        F.lit(True).alias("is_matched"),
     )
-    found = columns.filter(F.col("catalog_name").isNotNull()).withColumnRenamed(
-        "column_name", "source_column"
-    )
+    found = columns.withColumnRenamed("column_name", "source_column")
     shown = F.coalesce(F.nullif("catalog_name", F.lit("")), F.col("source_column"))
     of_columns = _decided(
         found,
@@ -324,27 +325,32 @@ def plan_detail(matched: DataFrame, columns: DataFrame, options: PlanOptions) ->
             "replaces_display_name"
         ),
         F.col("column_has_description").alias("replaces_description"),
+        F.col("catalog_name").isNotNull().alias("is_matched"),
     )
     return of_tables.unionByName(of_columns)
 
 
 @dataclass(frozen=True)
 class Plan:
-    """Lazy relations of one comparison."""
+    """Lazy relations of one comparison. `everything` holds the rows of `plan_detail`."""
 
     matched: DataFrame
     columns: DataFrame
-    detail: DataFrame
+    everything: DataFrame
     unmatched_tables: DataFrame
     tables_without_dictionary: DataFrame
 
+    @property
+    def detail(self) -> DataFrame:
+        return self.everything.filter("is_matched")
+
     @property
     def rows(self) -> DataFrame:
         return self.detail.select(PLAN_COLUMNS)
 
     @property
     def unmatched_columns(self) -> DataFrame:
-        return unmatched_columns(self.columns)
+        return unmatched_columns(self.everything)
 
     @property
     def writes(self) -> DataFrame:
@@ -364,7 +370,7 @@ def reconcile_plan(
     return Plan(
         matched=matched,
         columns=columns,
-        detail=plan_detail(matched, columns, options),
+        everything=plan_detail(matched, columns, options),
         unmatched_tables=unmatched_tables(src_tables, matched, options),
         tables_without_dictionary=tables_without_dictionary(scope, matched),
     )
@@ -375,27 +381,28 @@ def will_write() -> Column:
 
 
 def plan_summary(plan: Plan) -> DataFrame:
-    """Eight counters from one pass over the plan rows and three counts."""
+    """Eight counters: one pass over the rows, and two counts of tables."""
+    kept = F.col("is_matched")
 
     def actions(action: str) -> Column:
         hits = (F.col("display_name_action") == action).cast("int") + (
             F.col("description_action") == action
         ).cast("int")
-        return F.coalesce(F.sum(hits), F.lit(0)).cast("bigint")
+        return F.coalesce(F.sum(F.when(kept, hits)), F.lit(0)).cast("bigint")
 
     def rows(frame: DataFrame) -> Column:
         return frame.agg(F.count(F.lit(1))).scalar()
 
-    return plan.detail.agg(
-        F.count(F.lit(1)).alias("plan_rows"),
-        F.count_distinct(F.when(will_write(), F.col("table_fqn"))).alias("tables_updated"),
+    return plan.everything.agg(
+        F.count_if(kept).alias("plan_rows"),
+        F.count_distinct(F.when(kept & will_write(), F.col("table_fqn"))).alias("tables_updated"),
         actions(WRITE).alias("metadata_writes"),
         actions(SKIP_NOOP).alias("no_ops"),
         actions(SKIP_CONFLICT).alias("conflicts_skipped"),
+        F.count_if(~kept).alias("unmatched_dictionary_columns"),
     ).select(
         "*",
         rows(plan.unmatched_tables).alias("unmatched_dictionary_tables"),
-        rows(plan.unmatched_columns).alias("unmatched_dictionary_columns"),
         rows(plan.tables_without_dictionary).alias("tables_without_dictionary"),
     )
 

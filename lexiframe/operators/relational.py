@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiframe.functions.names import clean_index_name
 from lexiframe.operators.pages import index_pages, shred
-from lexiframe.operators.skew import hot_key_join, spread_join
+from lexiframe.operators.skew import spread_join
 from lexiframe.schemas import FIELD_COLUMNS, INDEX_FIELDS, row_key, with_missing
 from lexiframe.sources.pages import resolve_pages
 
@@ -56,14 +56,13 @@ def parsed_index_links(links: DataFrame, pages: DataFrame, folder: str) -> DataF
     notes = index_pages(shred(pages)).select(
         F.col("path").alias("resolved"), "is_primary", "is_unique", "is_word", "fields"
     )
+    # A link without a page keeps a key of its own: nulls would meet in one partition.
+    own_key = F.concat_ws("/", F.lit("no page"), "module_code", "table_id", "filename")
+    resolved = resolve_pages(links, pages, folder).withColumn(
+        "resolved", F.coalesce("resolved", own_key)
+    )
     return (
-        hot_key_join(
-            resolve_pages(links, pages, folder).withColumn(
-                "resolved", F.coalesce("resolved", F.concat(F.lit("missing:"), "table_id", "filename"))
-            ),
-            notes,
-            ["resolved"],
-        )
+        spread_join(resolved, notes, ["resolved"], "left", spread=["module_code", "table_id", "index_pos"])
         .withColumn("index_name", clean_index_name(F.col("filename"), F.col("table_id")))
         .select(
             "module_code",

@@ -14,7 +14,7 @@ from lexiframe.constants import DEFAULT_PREFIX, LEGACY_HEADING, LEGACY_SECTIONS
 from lexiframe.functions.names import (
     clean_identifier,
     clean_table_label,
-    drop_prefix,
+    normalize_column_name,
     normalize_table_code,
     normalize_table_name,
     parse_flag,
@@ -48,25 +48,12 @@ def normalize_sources(
 
 
 def with_table_code(frame: DataFrame, table: str, prefix: str = DEFAULT_PREFIX) -> DataFrame:
-    """Add `table_code`. Names used more than once are columns, so each is cleaned once."""
-    cleaned = frame.withColumn("_table", clean_identifier(F.col(table)))
-    return cleaned.withColumn(
-        "table_code", drop_prefix(F.col("_table"), F.lit(prefix.lower()))
-    ).drop("_table")
+    return frame.withColumn("table_code", normalize_table_code(F.col(table), prefix))
 
 
 def with_column_name(frame: DataFrame, column: str, name: str = "column_name") -> DataFrame:
     """Add the column name of `column` under the row's `table_code`."""
-    cleaned = frame.withColumns(
-        {
-            "_column": clean_identifier(stem(F.col(column))),
-            "_prefix": F.concat(clean_identifier(F.col("table_code")), F.lit("_")),
-        }
-    )
-    short = F.when(F.col("table_code") == "", F.col("_column")).otherwise(
-        drop_prefix(F.col("_column"), F.col("_prefix"))
-    )
-    return cleaned.withColumn(name, short).drop("_column", "_prefix")
+    return frame.withColumn(name, normalize_column_name(F.col(column), F.col("table_code")))
 
 
 def with_legacy_description(frame: DataFrame, name: str) -> DataFrame:

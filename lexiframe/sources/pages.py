@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiframe.constants import CP1252_HIGH, CP1252_UNDEFINED
 from lexiframe.functions.names import base_name
-from lexiframe.operators.skew import hot_key_join
+from lexiframe.operators.skew import spread_join
 
 _HIGH_BYTES = "".join(chr(code) for code in range(0x80, 0xA0))
 
@@ -30,7 +30,7 @@ def decode_pages(files: DataFrame) -> DataFrame:
 
     Bytes that cp1252 leaves undefined make the page an error instead of ending the job.
     """
-    single = F.decode("content", F.lit("ISO-8859-1"))
+    single = F.decode("content", "ISO-8859-1")
     valid = F.is_valid_utf8(F.col("content").cast("string"))
     undefined = ~valid & (F.translate(single, CP1252_UNDEFINED, "") != single)
     text = F.when(valid, F.col("content").cast("string")).otherwise(
@@ -49,7 +49,7 @@ def decode_index_pages(files: DataFrame) -> DataFrame:
     return files.select(
         "path",
         base_name(F.col("path")).alias("filename"),
-        _single_newlines(F.decode("content", F.lit("ISO-8859-1"))).alias("html"),
+        _single_newlines(F.decode("content", "ISO-8859-1")).alias("html"),
         F.lit(None).cast("string").alias("error"),
     )
 
@@ -78,7 +78,8 @@ def resolve_pages(links: DataFrame, pages: DataFrame, folder: str) -> DataFrame:
     )
     first = known.select(F.col("_known").alias("_first"), F.lit(True).alias("_has_first"))
     second = known.select(F.col("_known").alias("_second"), F.lit(True).alias("_has_second"))
-    found = hot_key_join(hot_key_join(wanted, first, ["_first"]), second, ["_second"])
+    # Only the names of pages are repeated here, so an even spread is cheap.
+    found = spread_join(spread_join(wanted, first, ["_first"], "left"), second, ["_second"], "left")
     return found.withColumn(
         "resolved", F.when(F.col("_has_first"), F.col("_first")).when(F.col("_has_second"), F.col("_second"))
     ).drop("_first", "_second", "_has_first", "_has_second")
