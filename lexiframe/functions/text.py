@@ -7,7 +7,13 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiframe.constants import LEGACY_HEADING, LINE_BREAK, WHITESPACE, WS_CLASS
+from lexiframe.constants import (
+    FOREIGN_LINE_BREAK,
+    LEGACY_HEADING,
+    WHITESPACE,
+    WS_CLASS,
+    WS_NOT_SPACE,
+)
 
 
 def strip(text: Column) -> Column:
@@ -19,9 +25,16 @@ def null_if_empty(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+# The patterns below match only what has to change: a single space between words is no match.
+_RUN = f" {WS_CLASS}+|{WS_NOT_SPACE}{WS_CLASS}*"
+_BLANK_RUN = " [ \t]+|\t[ \t]*"
+# The look-behind lets each white-space run be entered once only, so long runs stay linear.
+_LINE_EDGE = f"(?<!{WS_CLASS})(?:{WS_CLASS}+\n{WS_CLASS}*|\n{WS_CLASS}+)"
+
+
 def collapse(text: Column) -> Column:
     """Each run of white space becomes one space."""
-    return F.regexp_replace(text, WS_CLASS + "+", " ")
+    return F.regexp_replace(text, _RUN, " ")
 
 
 def clean_text(text: Column) -> Column:
@@ -33,14 +46,10 @@ def is_blank(text: Column) -> Column:
 
 
 def tidy_lines(text: Column) -> Column:
-    """Collapse tabs and spaces inside lines, strip every line, drop blank lines.
-
-    The look-behind lets each white-space run be entered once only, so long runs stay linear.
-    """
-    unified = F.regexp_replace(text, LINE_BREAK, "\n")
-    spaced = F.regexp_replace(unified, "[ \t]+", " ")
-    joined = F.regexp_replace(spaced, f"(?<!{WS_CLASS}){WS_CLASS}*\n{WS_CLASS}*", "\n")
-    return strip(joined)
+    """Collapse tabs and spaces inside lines, strip every line, drop blank lines."""
+    unified = F.regexp_replace(text, FOREIGN_LINE_BREAK, "\n")
+    spaced = F.regexp_replace(unified, _BLANK_RUN, " ")
+    return strip(F.regexp_replace(spaced, _LINE_EDGE, "\n"))
 
 
 def clean_multiline_text(text: Column) -> Column:
