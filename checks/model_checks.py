@@ -25,6 +25,7 @@ from checks.sql import (
 )
 from lexiframe.functions import names, text
 from lexiframe.operators import keys, relational, source_model
+from lexiframe.plans.storage import stored
 from lexiframe.sources import documents
 
 # Sources -----------------------------------------------------------------------------------
@@ -292,6 +293,11 @@ def _trans(inputs: Inputs) -> DataFrame:
     return keys.trans_columns(inputs.dict_fields, inputs.rel_tables)
 
 
+def report_inputs(inputs: Inputs) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tables and the two lists, stored as the report job stores them."""
+    return inputs.rel_tables, stored(_unique(inputs), "unique"), stored(_trans(inputs), "trans")
+
+
 @check("table_list", with_views("SELECT 'sxe.' || table_id AS table_name FROM dict_tables"))
 def table_list(inputs: Inputs) -> DataFrame:
     return keys.table_list(inputs.rel_tables)
@@ -317,7 +323,7 @@ _STAMPED = _FLAGS.replace("'transdttmz'", "'trans1'")
 
 @check("key_flags", with_views(_FLAGS))
 def key_flags(inputs: Inputs) -> DataFrame:
-    return keys.key_flags(inputs.rel_tables, _unique(inputs), _trans(inputs))
+    return keys.key_flags(*report_inputs(inputs))
 
 
 def _list_sql(name: str, rows: str, index_name: str, position: str) -> str:
@@ -335,7 +341,7 @@ _NO_NAME = "CAST(NULL AS VARCHAR)"
       + _list_sql("transaction_columns", _TRANS, _NO_NAME, "first_id")),
 )
 def key_report_simple(inputs: Inputs) -> DataFrame:
-    return keys.key_report_simple(inputs.rel_tables, _unique(inputs), _trans(inputs))
+    return keys.key_report_simple(*report_inputs(inputs))
 
 
 @check(
@@ -347,7 +353,7 @@ def key_report_simple(inputs: Inputs) -> DataFrame:
       + f") l JOIN ({_FLAGS}) f ON f.table_name = l.table_name"),
 )
 def key_report_full(inputs: Inputs) -> DataFrame:
-    return keys.key_report_full(inputs.rel_tables, _unique(inputs), _trans(inputs))
+    return keys.key_report_full(*report_inputs(inputs))
 
 
 @check(
@@ -356,7 +362,7 @@ def key_report_full(inputs: Inputs) -> DataFrame:
       (SELECT count(DISTINCT table_name) FROM ({_TRANS}) x) AS tables_with_trans_columns_count, 'trans%' AS trans_pattern FROM dict_tables"""),
 )
 def key_report_counts(inputs: Inputs) -> DataFrame:
-    return keys.key_report_counts(inputs.rel_tables, _unique(inputs), _trans(inputs))
+    return keys.key_report_counts(*report_inputs(inputs))
 
 
 # Source model ------------------------------------------------------------------------------

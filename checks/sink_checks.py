@@ -50,9 +50,7 @@ def sink_relational(inputs: Inputs) -> DataFrame:
 
 @check("sink_key_report_json", ORACLES["key_report_simple"])
 def sink_key_report(inputs: Inputs) -> DataFrame:
-    report = keys.key_report_simple(
-        inputs.rel_tables, model_checks._unique(inputs), model_checks._trans(inputs)
-    )
+    report = keys.key_report_simple(*model_checks.report_inputs(inputs))
     return _json_round_trip(inputs, report, "key-report-json")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiframe.functions.names import base_name, join_path, stem
@@ -116,24 +116,31 @@ def failed_tables(tables: DataFrame) -> DataFrame:
     )
 
 
+def _short_name(name: Column) -> Column:
+    """Table name without the `tbl` of its file name."""
+    short = F.substring(name, F.lit(1), F.length(name) - 3)
+    return F.when(F.lower(name).endswith("tbl"), short).otherwise(name)
+
+
 def annotation_links(tables: DataFrame, pages: DataFrame) -> DataFrame:
     """Every field link with the annotations of its page; `found` is false without a page.
 
-    Each linked page is read once, however many links point to it.
+    Each linked page is read once, however many links point to it. `is_latest` is false on links
+    of a table that a later table of the same short name replaces.
     """
-    name = F.col("table_name")
-    short = F.when(
-        F.lower(name).endswith("tbl"), F.substring(name, F.lit(1), F.length(name) - 3)
-    ).otherwise(name)
-    links = tables.select(
+    named = tables.withColumn("table_id", _short_name(F.col("table_name")))
+    last = named.groupBy("module_code", "table_id").agg(F.max("table_pos").alias("last_pos"))
+    links = named.join(last, ["module_code", "table_id"]).select(
         "module_code",
-        short.alias("table_id"),
+        "table_id",
         "table_pos",
+        (F.col("table_pos") == F.col("last_pos")).alias("is_latest"),
         F.posexplode("fields").alias("field_pos", "link"),
     ).select(
         "module_code",
         "table_id",
         "table_pos",
+        "is_latest",
         "field_pos",
         stem(F.col("link.filename")).alias("field_name"),
         F.col("link.path").alias("path"),
@@ -142,20 +149,17 @@ def annotation_links(tables: DataFrame, pages: DataFrame) -> DataFrame:
     notes = annotate_pages(wanted).select(
         "path", *ANNOTATIONS, "indexes", F.col("error").isNull().alias("found")
     )
-    return hot_key_join(links, notes, ["path"]).withColumn(
+    spread = ["module_code", "table_id", "field_pos"]
+    return hot_key_join(links, notes, ["path"], spread=spread).withColumn(
         "found", F.coalesce("found", F.lit(False))
     )
 
 
 def latest_tables(tables: DataFrame) -> DataFrame:
     """Tables under their short name; of two tables with one short name the later one stays."""
-    name = F.col("table_name")
-    short = F.when(
-        F.lower(name).endswith("tbl"), F.substring(name, F.lit(1), F.length(name) - 3)
-    ).otherwise(name)
     packed = F.struct("title", "indexes", "triggers")
     return (
-        tables.withColumn("table_id", short)
+        tables.withColumn("table_id", _short_name(F.col("table_name")))
         .groupBy("module_code", "table_id")
         .agg(F.max_by(packed, "table_pos").alias("found"), F.max("table_pos").alias("table_pos"))
         .select("module_code", "table_id", "table_pos", "found.*")
@@ -168,20 +172,11 @@ def annotate_fields(links: DataFrame) -> DataFrame:
     `links` holds the rows of `annotation_links`; only the latest table of a short name counts.
     """
     values = F.struct(*ANNOTATIONS, "indexes")
-    per_table = (
-        links.filter("found")
-        .groupBy("module_code", "table_id", "field_name", "table_pos")
-        .agg(F.max_by(values, "field_pos").alias("found"), F.min("field_pos").alias("field_pos"))
-    )
     return (
-        per_table.groupBy("module_code", "table_id", "field_name")
-        .agg(
-            F.max_by(F.struct("field_pos", "found"), "table_pos").alias("last"),
-            F.max("table_pos").alias("table_pos"),
-        )
-        .select(
-            "module_code", "table_id", "field_name", "table_pos", "last.field_pos", "last.found.*"
-        )
+        links.filter("found AND is_latest")
+        .groupBy("module_code", "table_id", "field_name")
+        .agg(F.max_by(values, "field_pos").alias("found"), F.min("field_pos").alias("field_pos"))
+        .select("module_code", "table_id", "field_name", "field_pos", "found.*")
     )
 
 

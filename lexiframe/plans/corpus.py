@@ -20,18 +20,17 @@ def corpus_to_relational(
 ) -> dict[str, DataFrame]:
     """Read the pages under `folder`, write the six relations, and read them back.
 
-    The dictionary and the annotation links are stored in between, because several steps read
-    them; reading a page is the costly part and happens once per step.
+    The decoded pages are stored first: many small files are opened once, and later steps read
+    only the names or pages they need. The dictionary and the annotations are stored as well,
+    because several steps read them.
     """
-    pages = scan_pages(spark, folder)
-    base = pages.select("path").limit(1)
-    root = base.selectExpr("regexp_replace(path, '/[^/]*$', '')").head()
-    root = root[0] if root else folder
+    root = folder.rstrip("/")
+    pages = stored(scan_pages(spark, root), "pages")
     modules = stored(dictionary.dictionary_modules(pages), "modules")
     tables = stored(dictionary.dictionary_tables(pages, root), "dictionary")
     links = stored(dictionary.annotation_links(tables, pages), "annotations")
     latest = dictionary.latest_tables(tables)
-    index_files = scan_index_pages(spark, folder, index_glob)
+    index_files = scan_index_pages(spark, root, index_glob)
     entries = stored(
         relational.parsed_index_links(relational.index_links(latest), index_files, root), "indexes"
     )
@@ -66,14 +65,17 @@ def corpus_to_relational(
 
 
 def key_report(relations: dict[str, DataFrame], simple: bool = True) -> DataFrame:
-    """Key and transaction columns of every table of a relational model."""
+    """Key and transaction columns of every table of a relational model.
+
+    The two lists are stored: the report reads each of them several times.
+    """
     details = relational.index_details(
         relations["table_indexes"],
         relations["table_index_fields"],
         relations["tables"],
         relations["modules"],
     )
-    unique = keys.primary_unique_indexes(details)
-    changes = keys.trans_columns(relations["fields"], relations["tables"])
+    unique = stored(keys.primary_unique_indexes(details), "unique-indexes")
+    changes = stored(keys.trans_columns(relations["fields"], relations["tables"]), "trans-columns")
     report = keys.key_report_simple if simple else keys.key_report_full
     return report(relations["tables"], unique, changes)

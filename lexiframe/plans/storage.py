@@ -47,15 +47,15 @@ def write_relational(
 ) -> None:
     """The relational model as Parquet; `fields` is partitioned by module.
 
-    Rows are spread by their key before the write, so a large module becomes several files.
+    The rebalance hint lets adaptive execution split a large module into several files and put
+    small ones together, so neither one task nor a swarm of tiny files holds a module.
     """
     for name, frame in relations.items():
-        writer = frame
         if name == "fields":
-            writer = frame.repartition("module_code", "table_id", "field_name")
-            writer.write.mode(mode).partitionBy("module_code").parquet(f"{path}/{name}")
+            frame = frame.hint("rebalance", "module_code")
+            frame.write.mode(mode).partitionBy("module_code").parquet(f"{path}/{name}")
         else:
-            writer.write.mode(mode).parquet(f"{path}/{name}")
+            frame.write.mode(mode).parquet(f"{path}/{name}")
 
 
 def read_relational(spark: SparkSession, path: str, names: list[str]) -> dict[str, DataFrame]:

@@ -17,11 +17,14 @@ def _single_newlines(text: Column) -> Column:
 
 
 def read_bytes(spark: SparkSession, folder: str, glob: str = "*.htm") -> DataFrame:
+    """Files as `(path, content)`; a path is the folder as given and the place below it."""
+    root = folder.rstrip("/")
+    place = F.regexp_extract("path", rf"(?s)\Q{root}\E(/.*)\z", 1)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .load(folder)
-        .select("path", "content")
+        .select(F.concat(F.lit(root), place).alias("path"), "content")
     )
 
 
