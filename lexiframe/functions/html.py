@@ -72,6 +72,8 @@ class _PageReader(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.page = _Span("page")
         self.open: list[tuple[str, _Span | None]] = []
+        self.spans: list[_Span] = [self.page]  # the tracked elements among the open ones
+        self.hidden = self.preformatted = 0  # how many such elements are open
         self.buffer: list[str] = []
         self.tables: list[_Span] = []
         self.rows: list[_Span] = []
@@ -104,23 +106,26 @@ class _PageReader(HTMLParser):
             ],
         }
 
-    def _spans(self, *tags: str) -> list[_Span]:
-        return [span for _, span in self.open if span is not None and span.tag in tags]
+    def _spans(self, tag: str) -> list[_Span]:
+        return [span for span in self.spans if span.tag == tag]
 
     def _end_piece(self) -> None:
         if not self.buffer:
             return
         piece = "".join(self.buffer)
         self.buffer.clear()
-        names = {name for name, _ in self.open}
-        if not piece.strip(" \n\t\f\r") and not names & PREFORMATTED_TAGS:
-            piece = "\n" if "\n" in piece else " "
-        if names & HIDDEN_TEXT_TAGS:
+        if self.hidden:
             return
-        self.page.pieces.append(piece)
-        for _, span in self.open:
-            if span is not None:
-                span.pieces.append(piece)
+        if not self.preformatted and not piece.strip(" \n\t\f\r"):
+            piece = "\n" if "\n" in piece else " "
+        for span in self.spans:
+            span.pieces.append(piece)
+
+    def _count(self, tag: str, step: int) -> None:
+        if tag in HIDDEN_TEXT_TAGS:
+            self.hidden += step
+        elif tag in PREFORMATTED_TAGS:
+            self.preformatted += step
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._end_piece()
@@ -145,6 +150,10 @@ class _PageReader(HTMLParser):
                     row.hrefs.append(href)
         if tag not in VOID_TAGS:
             self.open.append((tag, span))
+            if span is not None:
+                self.spans.append(span)
+            else:
+                self._count(tag, 1)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -154,9 +163,17 @@ class _PageReader(HTMLParser):
         self._end_piece()
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][0] == tag:
+                for name, span in self.open[depth:]:
+                    if span is not None:
+                        self.spans.remove(span)
+                    else:
+                        self._count(name, -1)
                 del self.open[depth:]
                 return
 
+    def updatepos(self, start: int, end: int) -> int:
+        return end  # line numbers are not needed
+
     def handle_data(self, data: str) -> None:
         self.buffer.append(data)
 

@@ -193,11 +193,14 @@ def rel_key_violations(
 
 
 def search_fields(fields: DataFrame, tables: DataFrame, pattern: str) -> DataFrame:
-    """Fields whose description matches, in module and table order."""
+    """Fields whose description matches, in module and table order.
+
+    The field name takes part in the order, so the sort can cut a large table into ranges.
+    """
     hits = fields.filter(F.col("description").ilike(pattern)).select(
         "table_id", "module_code", "field_name", "label", "description"
     )
     named = spread_join(hits, tables.select("table_id", "table_name"), ["table_id"])
     return named.select(
         "module_code", "table_name", "field_name", "label", "description"
-    ).orderBy("module_code", "table_name")
+    ).orderBy("module_code", "table_name", "field_name")

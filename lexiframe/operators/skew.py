@@ -25,14 +25,16 @@ def spread_join(
     on: list[str],
     how: str = "inner",
     spread: list[str] | None = None,
-    salts: int = 8,
+    salts: int = 16,
 ) -> DataFrame:
-    """Join a long table to a short one whose keys are unique.
+    """Join a long table to a short one.
 
-    Every key of `fact` is split over `salts` partitions and `dim` is repeated that often, so a
-    key with a third of the rows is shared by `salts` tasks. `spread` names the columns of `fact`
-    that tell rows of one key apart. No broadcast is forced: Spark chooses one only below its own
-    size threshold.
+    Every key of `fact` is split over `salts` partitions and `dim` is repeated that often.
+    `spread` names the columns of `fact` that tell rows of one key apart. No broadcast is forced:
+    Spark chooses one only below its own size threshold, so at most `salts` times that threshold
+    is ever sent out. Beyond it both sides are shuffled; since the salt leaves with the join, no
+    later step relies on this partitioning, and adaptive execution may split large partitions
+    further, which it must not do where a grouping by the bare key reuses them.
     """
     salted = fact.withColumn("_salt", _salt(spread or fact.columns, salts))
     copies = dim.withColumn("_salt", F.explode(_copies(salts)))
@@ -47,7 +49,7 @@ def hot_key_join(
     spread: list[str] | None = None,
     share: float = 0.001,
     floor: int = 100_000,
-    salts: int = 64,
+    salts: int = 256,
 ) -> DataFrame:
     """Join two long tables; only keys with more than `share` of the rows are salted.
 
