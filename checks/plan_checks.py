@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from checks.inputs import DATABASE, OPTIONS, PREFIX, SCHEMA, SERVICE, Inputs, sql
 from checks.registry import check
-from checks.sql import PLAN_COLUMNS, identifier, multiline, over_plan, plan_views, with_views
+from checks.sql import PLAN_COLUMNS, multiline, over_plan, plan_views, with_views
 from lexiframe.constants import (
     APPEND_WITH_MARKER,
-    FILL_DEFAULT,
-    FILL_EMPTY,
     OVERWRITE,
     OVERWRITE_PHRASE,
 )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -93,7 +91,3 @@ def index_list_text(value: Column) -> Column:
     items = F.when(text.startswith("["), F.from_json(text, "array<string>"))
     kept = F.filter(F.transform(items, strip), lambda item: item != "")
     return F.when(items.isNull(), text).otherwise(null_if_empty(F.array_join(kept, ", ")))
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda left, right: left | right, conditions)

@@ -9,7 +9,6 @@ from lexiframe.constants import DEFAULT_PREFIX
 from lexiframe.functions.names import (
     build_table_fqn,
     normalize_table_code,
-    normalize_table_name,
 )
 from lexiframe.functions.text import strip
 from lexiframe.operators.skew import spread_join
@@ -158,9 +157,3 @@ def scope_tables(
         .unionByName(owned.filter((active_rows == 0) & (asset_rows > 0)))
         .unionByName(schema_members.filter((active_rows == 0) & (asset_rows == 0)))
     )
-
-
-def fqn_of_code(code: Column, service: str, database: str, schema: str, prefix: str) -> Column:
-    return build_table_fqn(
-        F.lit(service), F.lit(database), F.lit(schema), normalize_table_name(code, prefix)
-    )
