@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from checks import ORACLES, QUERIES
 from checks.compare import differences
 
@@ -24,4 +24,4 @@ def test_entry_has_the_plan_columns(spark):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
