@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lexiframe.llm import exact_dedup
+from lexiframe.llm import decontaminate, exact_dedup, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +20,30 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    judged = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.line_dedup(docs).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_line_dedup": op7_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -35,5 +58,44 @@ SELECT doc_id,
        doc_id = max(doc_id) OVER (PARTITION BY t) AS kept,
        sha256(t) AS text_sha256
 FROM n
+""",
+    "op5_decontaminate": r"""
+WITH fold AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT cast(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win, least(10, len(w)) AS n
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM windows),
+grams AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM fold, sizes WHERE len(w) >= n)
+), found AS (SELECT doc_id, i, g.n, item FROM grams g JOIN windows v ON g.win = v.win AND g.n = v.n),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT f.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM fold f LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
+    "op7_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, pos, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(s) AS line, unnest(range(len(s))) AS pos
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS s FROM documents))
+), firsts AS (
+  SELECT key, min(doc_id) AS owner FROM lines WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (owner <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (owner IS NULL OR owner = doc_id), '')) AS kept_sha256
+FROM lines LEFT JOIN firsts USING (key) GROUP BY doc_id
 """,
 }

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,7 +91,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Itera
     if not batch.num_rows:
         return
     texts = batch.column(batch.schema.get_field_index(column))
-    ends = np.cumsum([len(x) if x is not None else 0 for x in map(pa.Scalar.as_buffer, texts)])
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     first = 0
     while first < batch.num_rows:
         before = ends[first - 1] if first else 0
