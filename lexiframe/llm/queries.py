@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import decontaminate, exact_dedup, line_dedup
+from lexiframe.llm import decontaminate, exact_dedup, line_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.substring_dedup(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     judged = decontaminate.contamination(docs, table(spark, folder, "benchmark"))
@@ -42,6 +47,7 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op7_line_dedup": op7_line_dedup,
 }
