@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import decontaminate, exact_dedup, line_dedup, substring_dedup
+from lexiframe.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,11 +45,16 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op7_line_dedup": op7_line_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
