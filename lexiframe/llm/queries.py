@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import decontaminate, exact_dedup, jaccard_join, line_dedup, substring_dedup
+from lexiframe.llm import (
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    line_dedup,
+    packing,
+    substring_dedup,
+    token_files,
+)
+from lexiframe.plans.storage import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +29,19 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "token-files")
+    docs = table(spark, folder, "documents")
+    token_files.write_tokens(docs, path, tokenizer("byte_bpe_50k.json"), end_id=2)
+    return token_files.token_digests(spark, path)
+
+
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substring_dedup.substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -45,15 +67,22 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs, tokenizer("word_bpe_49k.json"))
+
+
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_files": op3_token_files,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op7_line_dedup": op7_line_dedup,
+    "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
 }
 
