@@ -15,6 +15,7 @@ from lexiframe.llm import (
     packing,
     substring_dedup,
     token_files,
+    warc,
 )
 from lexiframe.plans.storage import new_path
 
@@ -76,6 +77,12 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents"))
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "archives")
+    warc.write_warc(warc.page_records(table(spark, folder, "pages")), path)
+    return warc.archived_pages(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_files": op3_token_files,
@@ -84,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_warc": op10_warc,
 }
 
 ORACLES: dict[str, str] = {
@@ -137,5 +145,18 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (owner <> doc_id) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (owner IS NULL OR owner = doc_id), '')) AS kept_sha256
 FROM lines LEFT JOIN firsts USING (key) GROUP BY doc_id
+""",
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h,
+         min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages
+)
+SELECT page_id, strlen(body) AS payload_bytes,
+       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((CAST('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5) AS INT) >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p
 """,
 }
