@@ -153,7 +153,7 @@ WITH p AS (
   FROM pages
 )
 SELECT page_id, strlen(body) AS payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          ((CAST('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5) AS INT) >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
