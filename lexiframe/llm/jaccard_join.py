@@ -31,7 +31,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: to find tokens held once, within the corpus, where a collision costs a comparison and no link.
 TOKEN_BITS = 48
 #: Tokens that a task gathers before it sends them.
-FLUSH_TOKENS = 4 << 20
+FLUSH_TOKENS = 1 << 20
 #: Tokens of one verification task; larger groups are dealt with block by block.
 BLOCK_TOKENS = 4 << 20
 ORDERS = 3
@@ -141,6 +141,7 @@ class _Sender:
             entry = np.where(many, np.uint64(0), refs)[new]
             yield from self._send(b, own[new], entry, known=False)
         self.clear()
+        pa.default_memory_pool().release_unused()
 
     def _send(self, bucket: int, own: np.ndarray, refs: np.ndarray, known: bool):
         if not len(own):

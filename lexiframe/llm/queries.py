@@ -11,10 +11,12 @@ from lexiframe.llm import (
     decontaminate,
     exact_dedup,
     jaccard_join,
+    language,
     line_dedup,
     packing,
     substring_dedup,
     token_files,
+    toxicity,
     warc,
 )
 from lexiframe.plans.storage import new_path
@@ -26,6 +28,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.fit(docs.filter(~language.held_out()))
+    told = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    return language.identify(told, model).drop("text")
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, folder, "documents"))
 
@@ -61,6 +70,14 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").filter(~language.held_out())
+    model = toxicity.fit(docs, labels)
+    told = docs.select("doc_id", "text", language.held_out().alias("held_out"))
+    return toxicity.toxicity(told, model).drop("text")
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return line_dedup.line_dedup(docs).select(
@@ -84,10 +101,12 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_language": op1_language,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_files": op3_token_files,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
