@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import re
 import sys
+from array import array
 from collections.abc import Iterator
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 from pyspark import cloudpickle
@@ -19,10 +21,11 @@ from lexiframe.llm import shared
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Entries a worker keeps for pieces and for words; beyond them it starts anew with the next block.
-MOST_PIECES, MOST_WORDS = 250_000, 400_000
+#: Entries a worker keeps for pieces, and for the words in them. Ids are kept as bytes.
+MOST_PIECES, MOST_WORDS = 300_000, 900_000
 
-_TAIL = re.compile(r"[^\W\d_]+([.,]\n?)\Z")
+_LETTERS = re.compile(r"([^\W\d_]+)")
+_BLANKS = re.compile(r"\s\s")
 
 
 class Encoder:
@@ -34,52 +37,104 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        a, ab = self._encode(["a"]), self._encode(["a a"])
-        self.keeps_spaces = list(ab[0]) != list(a[0]) * 2
-        self.pieces: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Pieces that are a word and a full stop or comma share the ids of their parts."""
-        words = self.words
-        cut: dict[str, tuple[str, ...]] = {}
-        for piece in pieces:
-            found = _TAIL.fullmatch(piece, 1) if piece[:1] == " " else _TAIL.fullmatch(piece)
-            # The apostrophe forms and everything else that is not plain letters stay whole.
-            cut[piece] = (piece[: found.start(1)], found[1]) if found else (piece,)
-        if len(words) > MOST_WORDS:
-            words.clear()
-        new = list({part for parts in cut.values() for part in parts if part not in words})
-        words.update(zip(new, self._encode(new)))
-        for piece, parts in cut.items():
-            self.pieces[piece] = words[parts[0]] if len(parts) == 1 else words[parts[0]] + words[parts[1]]
+        self.mark = next(t for t in ("<|endoftext|>", None) if t is None or self.tokenizer.token_to_id(t))
+        self.mark_id = self.mark and self.tokenizer.token_to_id(self.mark)
+        a, both, capital = self._encode(["a", "a a", "A"])
+        self.keeps_spaces = both != a + a
+        self.folds = capital == a
+        # Pieces without the space before them; the first of a text, which has none, has a key
+        # that begins with a zero character.
+        self.pieces: dict[str, bytes] = {}
+        # Words met lately, and those met before; words in neither are forgotten.
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Many words in one call, parted by a special token, at which the tokenizer starts anew."""
+        if self.mark is None:
+            return self._encode(words)
+        groups = [words[i : i + 64] for i in range(0, len(words), 64)]
+        texts = [self.mark.join(g) for g in groups]
+        out: list[bytes] = []
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            ends = (np.flatnonzero(ids == self.mark_id) * 4).tolist()
+            data = ids.tobytes()
+            begins = [0, *[x + 4 for x in ends]]
+            out += [data[x:y] for x, y in zip(begins, [*ends, len(data)])]
+        return out
+
+    def _cut(self, key: str) -> list[str]:
+        """Parts whose ids together are those of the piece: runs of letters and what is between.
+
+        Where a word might not end there (apostrophes, runs of blanks, marks that combine, special
+        tokens), the piece stays whole.
+        """
+        first = key[:1] == "\0"
+        bare = key[1:] if first else key
+        piece = bare if first or not self.keeps_spaces else " " + bare
+        if bare.isascii():
+            folded = piece.lower() if self.folds else piece
+            if bare.isalpha():
+                return [folded]
+            if bare[-1:] in (".", ",") and bare[:-1].isalpha():
+                return [folded[:-1], bare[-1]]
+        elif not is_normalized("NFC", piece):
+            return [piece]
+        if "'" in piece or "<|" in piece or _BLANKS.search(piece):
+            return [piece]
+        parts = _LETTERS.split(piece)
+        if not all(x.isalpha() for x in parts[1::2]):
+            return [piece]
+        if self.keeps_spaces and parts[0] == " " and len(parts) > 1:
+            parts[0:2] = [" " + parts[1]]
+        if self.folds:
+            parts = [x.lower() if x.isascii() else x for x in parts]
+        return [x for x in parts if x]
+
+    def _learn(self, keys: set[str]) -> None:
+        if len(self.words) > MOST_WORDS // 2:
+            self.words, self.older = {}, self.words
+        words, older = self.words, self.older
+        cut = list(map(self._cut, keys))
+        wanted = set(chain.from_iterable(cut)).difference(words)
+        known = wanted.intersection(older)
+        words.update((w, older[w]) for w in known)
+        new = list(wanted - known)
+        odd = [w for w in new if "<|" in w]
+        plain = [w for w in new if "<|" not in w] if odd else new
+        words.update(zip(plain, self._encode_words(plain)))
+        words.update(zip(odd, self._encode(odd)))
+        get = words.__getitem__
+        self.pieces.update(
+            (key, get(parts[0]) if len(parts) == 1 else b"".join(map(get, parts)))
+            for key, parts in zip(keys, cut)
+        )
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Ids of each text as unsigned 32-bit numbers."""
-        space = " " if self.keeps_spaces else ""
-        parts: list[list[str] | None] = []
+        pieces = self.pieces
+        if len(pieces) > MOST_PIECES:
+            pieces.clear()
+        cut: list[list[str]] = []
         for text in texts:
             if self.keeps_spaces and "  " in text:
-                parts.append(None)  # a run of spaces is cut otherwise; these texts go whole
-                continue
-            own = text.split(" ")
-            if space:
-                own[1:] = [space + x for x in own[1:]]
-            parts.append(own)
-        if len(self.pieces) > MOST_PIECES:
-            self.pieces.clear()
-        missing = {x for own in parts if own for x in own if x not in self.pieces}
+                cut.append([])  # a run of spaces is cut otherwise; these texts go whole
+            else:
+                own = text.split(" ")
+                own[0] = "\0" + own[0]
+                cut.append(own)
+        missing = set().union(*cut).difference(pieces)
         if missing:
             self._learn(missing)
-        get = self.pieces.__getitem__
-        for text, own in zip(texts, parts):
-            if own is None:
-                yield np.array(self._encode([text])[0], np.uint32)
-            else:
-                yield np.fromiter(chain.from_iterable(map(get, own)), np.uint32)
+        get = pieces.__getitem__
+        for text, own in zip(texts, cut):
+            found = b"".join(map(get, own)) if own else self._encode([text])[0]
+            yield np.frombuffer(found, np.uint32)
 
 
 def encoder(path: str) -> Encoder:

@@ -14,6 +14,8 @@ BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_b
 ODD = [
     "", " ", "  ", "a", " a", "a ", "a  b", "a   b ", "don't it's I'LL", "x\n y", "x \n y\n\n z", "\tq\t w",
     "<|endoftext|> a <|endoftext|>", "é É ß ΑΣ ΣΑΣ, Σ.", "é ́x", "12,345. 6 ,7", "word. Word, word.\n", " x  y\x1c z",
+    "a.\n\nb", "(x) [y]y 1a2b3c", "THE The tHE!!", "ÉCOLE École", "Ⅷa ²b", "a\u0301b e\u0301", "don't.\nIt's", "a\0 b\0", "...a..b",
+    "x\u00a0y \u2003z", "ﬁne ǅ ŉ", "a<|endoftext|>b", "\x85a", "a\u200bb", "_a_", "İI ıi",
     "日本語 テキスト。", "🙂 🙂🙂", "a.b, c.,\n d,\n\n", "__x__ _y", "'s 't", "x\r\n y", "ـ ١٢٣ ४५, ²³.",
 ]
 
