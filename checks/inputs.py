@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lexiframe.constants import CP1252_HIGH
 from lexiframe.operators.reconcile import PlanOptions
-from lexiframe.operators.skew import bucketed_rank
+from checks.ranks import bucketed_rank
 
 SERVICE, DATABASE, SCHEMA, PREFIX = "wh", "dw", "core", "csd_"
 FOLDER = "help"

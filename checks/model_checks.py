@@ -316,7 +316,6 @@ def trans_columns(inputs: Inputs) -> DataFrame:
     return _trans(inputs)
 
 
-_STAMPED = _FLAGS.replace("'transdttmz'", "'trans1'")
 
 
 @check("key_flags", with_views(_FLAGS))

@@ -327,8 +327,7 @@ def rel_fields(inputs: Inputs) -> DataFrame:
 
 def _index_entries(inputs: Inputs) -> DataFrame:
     links = relational.index_links(dictionary.latest_tables(_tables(inputs)))
-    wanted = inputs.corpus.filter(F.col("filename").endswith("_k-0.htm"))
-    return relational.parsed_index_links(links, wanted, FOLDER)
+    return relational.parsed_index_links(links, inputs.corpus, FOLDER)
 
 
 _INDEX_ID = "'MOD' || CAST(floor(s_suppkey / 50) AS BIGINT) || '/t' || s_suppkey || '/0000000000'"

@@ -77,9 +77,20 @@ def dictionary_tables(pages: DataFrame, folder: str) -> DataFrame:
         )
         .select("module_code", "module_title", "table_name", "table_pos", "link.filename", "link.path")
     )
-    sources = pages.select("path", "html", "error", F.lit(True).alias("_found"))
-    read = shred(hot_key_join(listed, sources, ["path"]))
-    parsed = table_triggers(table_sections(read))
+    # Pages are narrowed to those that are listed and read once; only what was read joins the lists.
+    wanted = pages.select("path", "html", "error").join(
+        listed.select("path").distinct(), "path", "left_semi"
+    )
+    sections = table_triggers(table_sections(shred(wanted))).select(
+        "path",
+        "error",
+        F.struct(F.col("page.title").alias("title")).alias("page"),
+        "index_hrefs",
+        "field_hrefs",
+        "triggers",
+        F.lit(True).alias("_found"),
+    )
+    parsed = listed.join(sections, "path", "left")
     failed = F.when(F.col("_found").isNull(), "page not found").otherwise(F.col("error"))
     ok = failed.isNull()
     return parsed.select(

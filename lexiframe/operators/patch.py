@@ -218,7 +218,12 @@ def verify_patches(writes: DataFrame, new_tables: DataFrame, new_columns: DataFr
         F.col("description").alias("seen_description"),
         F.lit(True).alias("seen"),
     )
-    columns = column_lookup(new_columns).select(
+    # Only columns of written names are looked at, and only those are put in order.
+    written = writes.filter("is_column").select("table_fqn", F.lower("column_name").alias("_folded"))
+    same = (new_columns["table_fqn"] == written["table_fqn"]) & (
+        F.lower(new_columns["name"]) == written["_folded"]
+    )
+    columns = column_lookup(new_columns.join(written.distinct(), same, "left_semi")).select(
         "table_fqn",
         "folded",
         F.col("current_display_name").alias("seen_display_name"),
@@ -285,3 +290,8 @@ def apply_results(checks: DataFrame, continue_on_error: bool = False) -> DataFra
     return results.select(
         "table_fqn", (~failed).alias("success"), (~failed).alias("patched"), "error"
     )
+
+
+def attempted_writes(writes: DataFrame, results: DataFrame) -> DataFrame:
+    """Writes of the tables that have a result: all up to the first failure, or all."""
+    return writes.join(results.select("table_fqn").distinct(), "table_fqn", "left_semi")

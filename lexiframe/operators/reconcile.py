@@ -205,7 +205,9 @@ def plan_columns(matched: DataFrame, src_columns: DataFrame, cat_columns: DataFr
     wanted = spread_join(src_columns, tables, ["table_code"], spread=["column_name"]).withColumn(
         "folded", F.lower("column_name")
     )
-    return wanted.join(column_lookup(cat_columns), ["table_fqn", "folded"], "left")
+    # Only columns of matched tables are put in order; the rest of the catalogue is left alone.
+    known = cat_columns.join(matched.select("table_fqn").distinct(), "table_fqn", "left_semi")
+    return wanted.join(column_lookup(known), ["table_fqn", "folded"], "left")
 
 
 def unmatched_tables(src_tables: DataFrame, matched: DataFrame, options: PlanOptions) -> DataFrame:

@@ -52,17 +52,21 @@ def index_links(tables: DataFrame) -> DataFrame:
 
 
 def parsed_index_links(links: DataFrame, pages: DataFrame, folder: str) -> DataFrame:
-    """Index links with the flags and fields of their page, if there is one."""
-    notes = index_pages(shred(pages)).select(
+    """Index links with the flags and fields of their page, if there is one.
+
+    `pages` may be a whole corpus: whatever its name, a page counts if a link leads to it, and only
+    such pages are read.
+    """
+    resolved = resolve_pages(links, pages, folder)
+    wanted = resolved.select(F.col("resolved").alias("path")).filter("path IS NOT NULL").distinct()
+    notes = index_pages(shred(pages.join(wanted, "path", "left_semi"))).select(
         F.col("path").alias("resolved"), "is_primary", "is_unique", "is_word", "fields"
     )
     # A link without a page keeps a key of its own: nulls would meet in one partition.
     own_key = F.concat_ws("/", F.lit("no page"), "module_code", "table_id", "filename")
-    resolved = resolve_pages(links, pages, folder).withColumn(
-        "resolved", F.coalesce("resolved", own_key)
-    )
     return (
-        spread_join(resolved, notes, ["resolved"], "left", spread=["module_code", "table_id", "index_pos"])
+        resolved.withColumn("resolved", F.coalesce("resolved", own_key))
+        .join(notes, "resolved", "left")
         .withColumn("index_name", clean_index_name(F.col("filename"), F.col("table_id")))
         .select(
             "module_code",
@@ -121,20 +125,17 @@ def index_details(
     named = spread_join(known, tables.select("table_id", "table_name"), ["table_id"])
     full = with_missing(index_fields, ["field_order", "abbreviated"])
     parts = full.select("index_id", "field_sequence", "field_name", "field_order", "abbreviated")
-    with_fields = spread_join(
-        parts, named.withColumnRenamed("id", "index_id"), ["index_id"]
-    )
-    used = index_fields.select(F.col("index_id").alias("id")).distinct()
-    without = named.join(used, "id", "left_anti")
     columns = [
         "module_code", "table_name", "index_name", "is_primary", "is_unique", "is_word",
         "source_file", "field_sequence", "field_name", "field_order", "abbreviated",
     ]
-    with_fields, without = (
-        with_missing(with_fields, columns),
-        with_missing(without, columns),
-    )
-    return with_fields.select(columns).unionByName(without.select(columns))
+    joined = named.withColumnRenamed("id", "index_id").join(parts, "index_id", "left")
+    return with_missing(joined, columns).select(columns)
+
+
+def closed_prefix(prefix: str) -> str:
+    """A schema prefix with its dot, or nothing."""
+    return prefix if not prefix or prefix.endswith(".") else prefix + "."
 
 
 def rel_metadata(counted: dict[str, DataFrame], provenance: dict[str, str]) -> DataFrame:

@@ -76,10 +76,13 @@ def product_assets(products: DataFrame) -> DataFrame:
     )
 
 
-def scope_schema(frame: DataFrame, service: str, database: str, schema: str) -> DataFrame:
-    """Rows whose `table_fqn` starts with the schema name; there is no closing dot in the test."""
+def scope_schema(
+    frame: DataFrame, service: str, database: str, schema: str, whole_name: bool = False
+) -> DataFrame:
+    """Rows whose `table_fqn` starts with the schema name; with `whole_name`, rows of that schema
+    alone and not of another whose name begins with it."""
     start = ".".join([service.strip(), database.strip(), schema.strip(), ""]).rstrip(".")
-    return frame.filter(F.col("table_fqn").startswith(start))
+    return frame.filter(F.col("table_fqn").startswith(start + "." * whole_name))
 
 
 def product_members(cat_tables: DataFrame, products: DataFrame) -> DataFrame:
@@ -149,7 +152,8 @@ def scope_tables(
         listed = listed.join(members.select("table_fqn").distinct(), "table_fqn", "left_semi")
     active_rows = active.agg(F.count(F.lit(1))).scalar()
     asset_rows = owned.agg(F.count(F.lit(1))).scalar()
-    schema_members = in_schema(names).join(
+    own = scope_schema(names, service, database, schema, whole_name=True)
+    schema_members = own.join(
         members.select("table_fqn").distinct(), "table_fqn", "left_semi"
     )
     return (

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 
 def _salt(columns: list[str], salts: int) -> Column:
@@ -74,26 +73,3 @@ def hot_key_join(
         .drop("_hot")
     )
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
-
-
-def bucketed_rank(
-    frame: DataFrame, group: str, order: str, name: str, width: int = 100_000
-) -> DataFrame:
-    """Zero-based rank of the integer `order` inside `group`; `order` is unique in its group.
-
-    Rows are ranked inside buckets of `width` order values, so no task sees more than `width`
-    rows of a group; the bucket sizes then give the offsets.
-    """
-    bucketed = frame.withColumn("_bucket", F.floor(F.col(order) / width))
-    sizes = bucketed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        group, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy(group, "_bucket").orderBy(order)
-    return (
-        bucketed.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(offsets, [group, "_bucket"])
-        .withColumn(name, (F.col("_rank") + F.col("_offset")).cast("int"))
-        .drop("_bucket", "_rank", "_offset")
-    )

@@ -27,13 +27,14 @@ from lexiframe.functions.text import (
     index_list_text,
     legacy_entries,
     section_text,
+    strip,
 )
 from lexiframe.operators.skew import spread_join
 from lexiframe.schemas import FIELD_COLUMNS, INDEX_FIELDS, with_missing
 
 _INDEX_ENTRY = (
-    "struct<name: string, primary: boolean, unique: boolean, word: boolean, "
-    "fields: array<struct<sequence: bigint, name: string, order: string, abbreviated: string>>>"
+    "struct<name: string, primary: string, unique: string, word: string, "
+    "fields: array<struct<sequence: string, name: string, order: string, abbreviated: string>>>"
 )
 
 
@@ -256,7 +257,7 @@ def json_indexes(entries: Column, table_code: Column) -> Column:
         return F.transform(
             named,
             lambda field: F.struct(
-                field["sequence"].alias("field_sequence"),
+                strip(field["sequence"]).try_cast("bigint").alias("field_sequence"),
                 clean_identifier(field["name"]).alias("field_name"),
                 clean_text(field["order"]).alias("field_order"),
                 clean_text(field["abbreviated"]).alias("abbreviated"),
@@ -271,9 +272,9 @@ def json_indexes(entries: Column, table_code: Column) -> Column:
             F.when(entry.isNotNull(), clean_identifier(entry["name"]))
             .otherwise(link_name)
             .alias("index_name"),
-            entry["primary"].alias("is_primary"),
-            entry["unique"].alias("is_unique"),
-            entry["word"].alias("is_word"),
+            parse_flag(entry["primary"]).alias("is_primary"),
+            parse_flag(entry["unique"]).alias("is_unique"),
+            parse_flag(entry["word"]).alias("is_word"),
             F.coalesce(fields_of(entry), F.array().cast(INDEX_FIELDS)).alias("fields"),
         )
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiframe.operators import dictionary, keys, relational
 from lexiframe.plans.storage import new_path, read_relational, stored, write_relational
-from lexiframe.sources.pages import scan_index_pages, scan_pages
+from lexiframe.sources.pages import decode_index_pages, decode_pages, read_bytes
 
 RELATIONS = ["modules", "tables", "fields", "table_indexes", "table_index_fields", "metadata"]
 
@@ -16,23 +18,25 @@ def corpus_to_relational(
     folder: str,
     schema_prefix: str = "",
     output: str | None = None,
-    index_glob: str = "*_*.htm",
 ) -> dict[str, DataFrame]:
-    """Read the pages under `folder`, write the six relations, and read them back.
+    """Read the pages under `folder`, write the six relations, and read them back with their two views.
 
-    The decoded pages are stored first: many small files are opened once, and later steps read
-    only the names or pages they need. The dictionary and the annotations are stored as well,
-    because several steps read them.
+    The page files are stored first: many small files are opened once, and later steps read only
+    the names or pages they need, each decoded as its kind of page asks for. The dictionary and the
+    annotations are stored as well, because several steps read them.
     """
     root = folder.rstrip("/")
-    pages = stored(scan_pages(spark, root), "pages")
+    files = stored(read_bytes(spark, root), "pages")
+    pages = decode_pages(files)
     modules = stored(dictionary.dictionary_modules(pages), "modules")
     tables = stored(dictionary.dictionary_tables(pages, root), "dictionary")
     links = stored(dictionary.annotation_links(tables, pages), "annotations")
     latest = dictionary.latest_tables(tables)
-    index_files = scan_index_pages(spark, root, index_glob)
     entries = stored(
-        relational.parsed_index_links(relational.index_links(latest), index_files, root), "indexes"
+        relational.parsed_index_links(
+            relational.index_links(latest), decode_index_pages(files), root
+        ),
+        "indexes",
     )
     relations = {
         "modules": relational.rel_modules(modules),
@@ -51,16 +55,19 @@ def corpus_to_relational(
         "indexes_count": written["table_indexes"],
         "index_fields_count": written["table_index_fields"],
     }
-    provenance = {"source_file": folder, "schema_prefix": schema_prefix}
+    provenance = {
+        "source_file": folder,
+        "schema_prefix": relational.closed_prefix(schema_prefix),
+        "generated_at": datetime.now(UTC).isoformat(),
+    }
     write_relational({"metadata": relational.rel_metadata(counts, provenance)}, path)
     back = read_relational(spark, path, RELATIONS)
-    back["fields"].createOrReplaceTempView("fields")
-    relational.field_details(back["fields"], back["tables"], back["modules"]).createOrReplaceTempView(
-        "field_details"
+    back["field_details"] = relational.field_details(
+        back["fields"], back["tables"], back["modules"]
     )
-    relational.index_details(
+    back["index_details"] = relational.index_details(
         back["table_indexes"], back["table_index_fields"], back["tables"], back["modules"]
-    ).createOrReplaceTempView("index_details")
+    )
     return back
 
 

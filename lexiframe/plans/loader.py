@@ -51,17 +51,29 @@ def apply_plan(
     cat_columns: DataFrame,
     continue_on_error: bool = False,
     new_state: tuple[DataFrame, DataFrame] | None = None,
+    path: str | None = None,
 ) -> Applied:
     """Apply the writes of a stored plan to the snapshot and verify them.
 
     `new_state` is the catalogue as read after the operations were sent to it; without it, the
-    patched snapshot itself is verified.
+    patched snapshot itself is verified. Everything returned ends at the first failure, unless
+    told to continue: state, operations, checks and results name the same tables. The backup of all
+    tables that may change is stored before anything else.
     """
-    writes = plan.detail.filter(will_write())
-    backup = patch.backup_tables(writes, cat_tables, cat_columns)
+    planned = plan.detail.filter(will_write())
+    backup = [
+        stored(frame, f"backup-{name}", path and f"{path}/backup_{name}")
+        for name, frame in zip(
+            ("tables", "columns"), patch.backup_tables(planned, cat_tables, cat_columns)
+        )
+    ]
+    after = new_state or patch.apply_patches(planned, cat_tables, cat_columns)
+    checks = stored(patch.verify_patches(planned, *after), "checks")
+    results = stored(
+        patch.apply_results(checks, continue_on_error), "results", path and f"{path}/results"
+    )
+    writes = patch.attempted_writes(planned, results)
     tables, columns = patch.apply_patches(writes, cat_tables, cat_columns)
-    after = new_state or (tables, columns)
-    checks = stored(patch.verify_patches(writes, *after), "checks")
     return Applied(
         writes=writes,
         operations=patch.patch_ops(writes),
@@ -69,6 +81,6 @@ def apply_plan(
         backup_columns=backup[1],
         tables=tables,
         columns=columns,
-        checks=checks,
-        results=patch.apply_results(checks, continue_on_error),
+        checks=patch.attempted_writes(checks, results),
+        results=results,
     )

@@ -25,17 +25,6 @@ FIELD_COLUMNS = [
     "description",
     "content",
 ]
-INDEX_COLUMNS = [
-    "id",
-    "module_code",
-    "table_id",
-    "index_name",
-    "is_primary",
-    "is_unique",
-    "is_word",
-    "source_file",
-]
-INDEX_FIELD_COLUMNS = ["index_id", "field_sequence", "field_name", "field_order", "abbreviated"]
 CSV_COLUMNS = [
     "table_code",
     "table_label",

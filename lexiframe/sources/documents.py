@@ -6,10 +6,12 @@ document is parsed on its own, and the order of rows is `(path, module_pos, tabl
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,10 @@ from pyspark.sql import types as T
 from lexiframe.constants import ACTIVE_LIST_MARKER
 from lexiframe.functions.names import normalize_table_code
 from lexiframe.functions.text import strip
-from lexiframe.schemas import CSV_COLUMNS, LINKS, with_missing
+from lexiframe.schemas import CSV_COLUMNS, LINKS
+
+# The helper that reads CSV records travels with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _FIELD = (
     "struct<label: string, type: string, format: string, decimals: string, initial: string, "
@@ -42,16 +47,6 @@ _TABLE = (
 _COLUMN = "struct<name: string, displayName: string, description: string>"
 
 
-def read_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """Whole files as `(path, text)`."""
-    return (
-        spark.read.option("pathGlobFilter", glob)
-        .option("wholetext", True)
-        .text(path)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    )
-
-
 def _entries(value: Column) -> Column:
     """Entries of a parsed JSON object as `key, value, pos`.
 
@@ -192,40 +187,54 @@ def catalog_columns(documents: DataFrame) -> DataFrame:
     )
 
 
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the record number inside its file; the rows of a file arrive together and in order."""
-    current, seen = None, 0
+#: Columns that a CSV file may have; further ones are not read.
+MOST_CSV_COLUMNS = 64
+
+
+def _named_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of CSV files with their numbers, by the names in the first record of each file.
+
+    The rows of a file arrive together and in order, so the names hold until the path changes.
+    """
+    current, names, seen = None, [], 0
     for batch in batches:
-        paths = batch.column("path").to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(np.append([True], paths[1:] != paths[:-1])) if len(paths) else []
-        numbers = np.arange(1, len(paths) + 1, dtype=np.int64)
-        for at, start in enumerate(starts):
-            end = starts[at + 1] if at + 1 < len(starts) else len(paths)
-            before = seen if at == 0 and paths[start] == current else 0
-            numbers[start:end] += before - start
-        if len(paths):
-            current, seen = paths[-1], int(numbers[-1])
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(numbers)], names=[*batch.schema.names, "record_no"]
-        )
+        paths = batch.column("path").to_pylist()
+        starts = [i for i, path in enumerate(paths) if i == 0 or path != paths[i - 1]]
+        for start, end in zip(starts, [*starts[1:], len(paths)]):
+            part = batch.slice(start, end - start)
+            if paths[start] != current:
+                current, seen = paths[start], 0
+                first = part.slice(0, 1).to_pylist()[0]
+                names = [(first[f"c{i}"] or "").lstrip("\ufeff").strip() for i in range(MOST_CSV_COLUMNS)]
+                part = part.slice(1)
+            texts = [
+                part.column(f"c{names.index(n)}") if n in names else pa.nulls(part.num_rows, pa.string())
+                for n in CSV_COLUMNS
+            ]
+            numbers = pa.array(np.arange(seen + 1, seen + part.num_rows + 1, dtype=np.int64))
+            seen += part.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [part.column("path"), *texts, numbers], names=["path", *CSV_COLUMNS, "record_no"]
+            )
 
 
 def read_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Dictionary CSV files as `(path, record_no, six columns)`; absent columns are null.
+    """Dictionary CSV files as `(path, six columns, record_no)`; absent columns are null.
 
+    Each file names its columns, in any order, in its first record.
     Quoted line breaks keep a file in one task, so large dictionaries should be many files.
     """
+    layout = ", ".join(f"c{i} string" for i in range(MOST_CSV_COLUMNS))
     rows = (
-        spark.read.option("pathGlobFilter", glob)
-        .option("header", True)
+        spark.read.schema(layout)
+        .option("pathGlobFilter", glob)
         .option("multiLine", True)
         .option("escape", '"')
         .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("path"))
+        .select(F.col("_metadata.file_path").alias("path"), "*")
     )
-    texts = with_missing(rows, CSV_COLUMNS).select("path", *CSV_COLUMNS)
-    schema = T.StructType([*texts.schema.fields, T.StructField("record_no", T.LongType())])
-    return texts.mapInArrow(_numbered, schema)
+    texts = ", ".join(f"{name} string" for name in CSV_COLUMNS)
+    return rows.mapInArrow(_named_records, f"path string, {texts}, record_no long")
 
 
 def parse_csv_lines(lines: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from lexiframe.constants import CP1252_HIGH, CP1252_UNDEFINED
 from lexiframe.functions.names import base_name
-from lexiframe.operators.skew import spread_join
 
 _HIGH_BYTES = "".join(chr(code) for code in range(0x80, 0xA0))
 
@@ -16,13 +15,19 @@ def _single_newlines(text: Column) -> Column:
     return F.regexp_replace(text, "\r\n?", "\n")
 
 
-def read_bytes(spark: SparkSession, folder: str, glob: str = "*.htm") -> DataFrame:
-    """Files as `(path, content)`; a path is the folder as given and the place below it."""
+#: Page files, with the extension in either case.
+PAGE_FILES = "*.[hH][tT][mM]"
+
+
+def read_bytes(spark: SparkSession, folder: str, glob: str = PAGE_FILES) -> DataFrame:
+    """Files in the folder and below as `(path, content)`; a path is the folder as given and the
+    place below it."""
     root = folder.rstrip("/")
     place = F.regexp_extract("path", rf"(?s)\Q{root}\E(/.*)\z", 1)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
         .load(folder)
         .select(F.concat(F.lit(root), place).alias("path"), "content")
     )
@@ -57,11 +62,11 @@ def decode_index_pages(files: DataFrame) -> DataFrame:
     )
 
 
-def scan_pages(spark: SparkSession, folder: str, glob: str = "*.htm") -> DataFrame:
+def scan_pages(spark: SparkSession, folder: str, glob: str = PAGE_FILES) -> DataFrame:
     return decode_pages(read_bytes(spark, folder, glob))
 
 
-def scan_index_pages(spark: SparkSession, folder: str, glob: str = "*.htm") -> DataFrame:
+def scan_index_pages(spark: SparkSession, folder: str, glob: str = PAGE_FILES) -> DataFrame:
     return decode_index_pages(read_bytes(spark, folder, glob))
 
 
@@ -81,8 +86,8 @@ def resolve_pages(links: DataFrame, pages: DataFrame, folder: str) -> DataFrame:
     )
     first = known.select(F.col("_known").alias("_first"), F.lit(True).alias("_has_first"))
     second = known.select(F.col("_known").alias("_second"), F.lit(True).alias("_has_second"))
-    # Only the names of pages are repeated here, so an even spread is cheap.
-    found = spread_join(spread_join(wanted, first, ["_first"], "left"), second, ["_second"], "left")
+    # Names only, on keys that are unique on one side; many links to one page are split at run time.
+    found = wanted.join(first, "_first", "left").join(second, "_second", "left")
     return found.withColumn(
         "resolved", F.when(F.col("_has_first"), F.col("_first")).when(F.col("_has_second"), F.col("_second"))
     ).drop("_first", "_second", "_has_first", "_has_second")

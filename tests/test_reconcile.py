@@ -14,7 +14,7 @@ from lexiframe.plans.loader import apply_plan, stored_plan
 from lexiframe.sources.documents import catalog_columns, catalog_tables
 
 OPTIONS = PlanOptions(service="Wh")
-FQN = "Wh.dw.core.csd_addon"
+FQN = "Wh.dw.core.csd_parcel"
 TABLE = "table_code string, warehouse_table_name string, label string, description string, source_ref string"
 COLUMN = (
     "table_code string, column_name string, label string, description string, help string, "
@@ -22,13 +22,13 @@ COLUMN = (
 )
 
 
-def addon(**changes):
+def parcel(**changes):
     table = {
-        "id": "table-id",
-        "name": "csd_addon",
+        "id": "id-7",
+        "name": "csd_parcel",
         "fullyQualifiedName": FQN,
-        "displayName": "csd_addon",
-        "columns": [{"name": "addonamt", "displayName": "", "description": "", "dataType": "NUMBER", "tags": [{"tagFQN": "PII.None"}]}],
+        "displayName": "csd_parcel",
+        "columns": [{"name": "weightkg", "displayName": "", "description": "", "dataType": "DECIMAL", "tags": [{"tagFQN": "Tier.Gold"}]}],
     }
     table.update(changes)
     return {key: value for key, value in table.items() if value is not ...}
@@ -39,9 +39,9 @@ def catalogue(spark, *tables):
     return catalog_tables(texts), catalog_columns(texts)
 
 
-def sources(spark, columns=(("addonamt", "Addon Amt", "dollar amount"),), label="Addon Data", description=None):
-    tables = [("addon", "csd_addon", label, description, "s:2"), ("icsw", "csd_icsw", "Other", None, "s:3")]
-    rows = [("addon", name, text, about, None, None, f"s:{name}") for name, text, about in columns]
+def sources(spark, columns=(("weightkg", "Weight kg", "gross weight"),), label="Parcel Data", description=None):
+    tables = [("parcel", "csd_parcel", label, description, "s:2"), ("zone", "csd_zone", "Other", None, "s:3")]
+    rows = [("parcel", name, text, about, None, None, f"s:{name}") for name, text, about in columns]
     return spark.createDataFrame(tables, TABLE), spark.createDataFrame(rows, COLUMN)
 
 
@@ -57,15 +57,15 @@ def by_entity(plan):
 
 
 def test_curated_names_are_conflicts_and_blanks_are_filled(spark):
-    plan, *_ = plan_of(spark, sources(spark), addon(displayName="Curated", description="curated"))
+    plan, *_ = plan_of(spark, sources(spark), parcel(displayName="Chosen", description="curated"))
     rows = by_entity(plan)
     assert rows[""].display_name_action == "skip_conflict"
     assert rows[""].description_action == "skip_no_source"
     assert rows[""].reason == "current displayName is curated; no source description"
-    assert rows["addonamt"].display_name_action == "write"
-    assert rows["addonamt"].reason == "displayName is blank/default; description is blank"
-    assert rows["addonamt"].table_name == "csd_addon" and rows["addonamt"].source_ref == "s:addonamt"
-    assert [row.table_code for row in plan.unmatched_tables.collect()] == ["icsw"]
+    assert rows["weightkg"].display_name_action == "write"
+    assert rows["weightkg"].reason == "displayName is blank/default; description is blank"
+    assert rows["weightkg"].table_name == "csd_parcel" and rows["weightkg"].source_ref == "s:weightkg"
+    assert [row.table_code for row in plan.unmatched_tables.collect()] == ["zone"]
     summary = reconcile.plan_summary(plan).first().asDict()
     assert summary == {
         "plan_rows": 2, "tables_updated": 1, "metadata_writes": 2, "no_ops": 0, "conflicts_skipped": 1,
@@ -74,27 +74,27 @@ def test_curated_names_are_conflicts_and_blanks_are_filled(spark):
 
 
 def test_an_empty_catalogue_gives_zeros(spark):
-    plan, *_ = plan_of(spark, sources(spark), addon(fullyQualifiedName="x.y"))
+    plan, *_ = plan_of(spark, sources(spark), parcel(fullyQualifiedName="x.y"))
     summary = reconcile.plan_summary(plan).first()
     assert summary.plan_rows == 0 and summary.metadata_writes == 0
     assert summary.unmatched_dictionary_tables == 2 and summary.tables_without_dictionary == 1
 
 
 def test_written_text_loses_blank_lines_only(spark):
-    text = "Legacy Data Dictionary Entries:\n\nDescription:\ndollar  amount\n\nContent:\n0 = No\n1 = Yes"
-    plan, *_ = plan_of(spark, sources(spark, [("addonamt", "A", text)]), addon())
-    assert by_entity(plan)["addonamt"].proposed_description == (
-        "Legacy Data Dictionary Entries:\nDescription:\ndollar amount\nContent:\n0 = No\n1 = Yes"
+    text = "Legacy Data Dictionary Entries:\n\nDescription:\ngross  weight\n\nContent:\n0 = light\n1 = heavy"
+    plan, *_ = plan_of(spark, sources(spark, [("weightkg", "A", text)]), parcel())
+    assert by_entity(plan)["weightkg"].proposed_description == (
+        "Legacy Data Dictionary Entries:\nDescription:\ngross weight\nContent:\n0 = light\n1 = heavy"
     )
 
 
 def test_missing_and_doubled_columns(spark):
     columns = [{"name": "A", "displayName": "first"}, {"name": "x"}, {"name": "a", "description": "last"}]
     source = sources(spark, [("a", "Label", "text"), ("gone", "L", "t")])
-    plan, cat_tables, cat_columns = plan_of(spark, source, addon(columns=columns))
+    plan, cat_tables, cat_columns = plan_of(spark, source, parcel(columns=columns))
     row = by_entity(plan)["a"]
     assert row.current_display_name is None and row.description_action == "skip_conflict"
-    assert [r.column_ref for r in plan.unmatched_columns.collect()] == ["addon.gone"]
+    assert [r.column_ref for r in plan.unmatched_columns.collect()] == ["parcel.gone"]
     operations = patch.patch_ops(plan.writes).filter("is_column").collect()
     assert [(op.op, op.path, op.value) for op in operations] == [("replace", "/columns/0/displayName", "Label")]
     checks = patch.verify_patches(plan.writes, *patch.apply_patches(plan.writes, cat_tables, cat_columns))
@@ -103,7 +103,7 @@ def test_missing_and_doubled_columns(spark):
 
 
 def test_column_display_name_needs_the_field_on_both_objects_to_replace(spark):
-    plan, *_ = plan_of(spark, sources(spark), addon(displayName=...))
+    plan, *_ = plan_of(spark, sources(spark), parcel(displayName=...))
     operations = patch.patch_ops(plan.writes).orderBy("is_column", "field_order").collect()
     assert [(op.op, op.path) for op in operations] == [
         ("add", "/displayName"), ("add", "/columns/0/displayName"), ("replace", "/columns/0/description"),
@@ -117,14 +117,14 @@ def test_append_mode_treats_tables_and_columns_differently(spark):
         spark, [("a", "A", "new"), ("b", "B", "same"), ("c", "C", "new"), ("d", "D", None)], description="new"
     )
     columns = [{"name": n, "description": t} for n, t in [("a", marked), ("b", "same"), ("c", "old"), ("d", "old")]]
-    plan, *_ = plan_of(spark, source, addon(columns=columns, description=marked), options=options)
+    plan, *_ = plan_of(spark, source, parcel(columns=columns, description=marked), options=options)
     rows = by_entity(plan)
     assert rows[""].reason.endswith("legacy marker already present")
     assert rows["a"].reason.endswith("description already matches")
     assert rows["b"].description_action == "write"
     assert rows["c"].proposed_description == f"old\n\n{MARKER_START}\nnew\n{MARKER_END}"
     assert rows["d"].proposed_description is None and rows["d"].description_action == "skip_no_source"
-    same, *_ = plan_of(spark, sources(spark, description="same"), addon(description=" same"), options=options)
+    same, *_ = plan_of(spark, sources(spark, description="same"), parcel(description=" same"), options=options)
     assert by_entity(same)[""].description_action == "skip_noop"
 
 
@@ -145,31 +145,31 @@ def test_overwriting_needs_flag_and_phrase():
 def test_include_comes_before_limit_and_zero_means_all(spark):
     tables, _ = sources(spark)
     codes = lambda **k: [r.table_code for r in reconcile.planned_tables(tables, PlanOptions(service="w", **k)).collect()]
-    assert codes(limit=1) == ["addon"]
-    assert codes(limit=1, include_tables=("CSD_icsw",)) == ["icsw"]
-    assert sorted(codes(limit=0)) == ["addon", "icsw"]
+    assert codes(limit=1) == ["parcel"]
+    assert codes(limit=1, include_tables=("CSD_zone",)) == ["zone"]
+    assert sorted(codes(limit=0)) == ["parcel", "zone"]
 
 
 def test_payload_keeps_foreign_keys(spark):
-    plan, _, cat_columns = plan_of(spark, sources(spark), addon())
+    plan, _, cat_columns = plan_of(spark, sources(spark), parcel())
     rows = patch.patch_payload(plan.writes, cat_columns).collect()
-    assert [(r.member, r.value) for r in rows if r.member == "displayName"] == [("displayName", "Addon Data")]
+    assert [(r.member, r.value) for r in rows if r.member == "displayName"] == [("displayName", "Parcel Data")]
     (column,) = [json.loads(r.value) for r in rows if r.member == "columns"]
     assert column == {
-        "name": "addonamt", "displayName": "Addon Amt", "description": "dollar amount",
-        "dataType": "NUMBER", "tags": [{"tagFQN": "PII.None"}],
+        "name": "weightkg", "displayName": "Weight kg", "description": "gross weight",
+        "dataType": "DECIMAL", "tags": [{"tagFQN": "Tier.Gold"}],
     }
 
 
 def test_apply_and_verify(spark):
-    plan, cat_tables, cat_columns = plan_of(spark, sources(spark), addon(), stored=True)
+    plan, cat_tables, cat_columns = plan_of(spark, sources(spark), parcel(), stored=True)
     done = apply_plan(plan, cat_tables, cat_columns)
     assert [(r.table_fqn, r.success, r.patched, r.error) for r in done.results.collect()] == [(FQN, True, True, None)]
-    assert done.tables.first().display_name == "Addon Data"
-    assert done.columns.first().description == "dollar amount"
-    assert json.loads(done.columns.first().raw)["dataType"] == "NUMBER"
-    assert done.backup_tables.first().raw == json.dumps(addon())
-    again, *_ = plan_of(spark, sources(spark), addon(displayName="Addon Data", columns=[json.loads(done.columns.first().raw)]))
+    assert done.tables.first().display_name == "Parcel Data"
+    assert done.columns.first().description == "gross weight"
+    assert json.loads(done.columns.first().raw)["dataType"] == "DECIMAL"
+    assert done.backup_tables.first().raw == json.dumps(parcel())
+    again, *_ = plan_of(spark, sources(spark), parcel(displayName="Parcel Data", columns=[json.loads(done.columns.first().raw)]))
     assert again.writes.count() == 0
 
 
@@ -186,10 +186,33 @@ def test_results_stop_at_the_first_failure(spark):
     assert fine.count() == 2
 
 
+def test_everything_ends_at_the_first_failure(spark):
+    tables = spark.createDataFrame([(c, f"csd_{c}", c.upper() * 2, None, "s") for c in "abc"], TABLE)
+    entries = [parcel(name=f"csd_{c}", fullyQualifiedName=f"Wh.dw.core.csd_{c}", displayName="", columns=[]) for c in "abc"]
+    source = tables, sources(spark, [])[1]
+    plan, cat_tables, cat_columns = plan_of(spark, source, *entries, stored=True)
+    seen = cat_tables.withColumn("display_name", F.when(F.col("table_fqn").endswith("_a"), "AA").otherwise("no"))
+    done = apply_plan(plan, cat_tables, cat_columns, new_state=(seen, cat_columns))
+    names = lambda frame: sorted({r.table_fqn[-1] for r in frame.collect()})
+    assert {r.table_fqn[-1]: r.success for r in done.results.collect()} == {"a": True, "b": False}
+    assert names(done.writes) == names(done.operations) == names(done.checks) == ["a", "b"]
+    assert {r.table_fqn[-1]: r.display_name for r in done.tables.collect()} == {"a": "AA", "b": "BB", "c": ""}
+    assert names(done.backup_tables) == ["a", "b", "c"]
+    go_on = apply_plan(plan, cat_tables, cat_columns, True, new_state=(seen, cat_columns))
+    assert names(go_on.operations) == ["a", "b", "c"] and go_on.results.count() == 3
+
+
+def test_members_of_another_schema_stay_out(spark):
+    names = spark.createDataFrame([("w.d.core.x",), ("w.d.core2.x",)], "table_fqn string")
+    none = names.limit(0)
+    got = scope.scope_tables(names, none, none, names, "w", "d", "core").collect()
+    assert [r.table_fqn for r in got] == ["w.d.core.x"]
+
+
 def test_a_lost_column_is_a_failure(spark):
-    plan, cat_tables, cat_columns = plan_of(spark, sources(spark), addon())
+    plan, cat_tables, cat_columns = plan_of(spark, sources(spark), parcel())
     checks = patch.verify_patches(plan.writes, cat_tables, cat_columns.limit(0)).filter("is_column").first()
-    assert checks.error == f"{FQN}.addonamt was not found after patch"
+    assert checks.error == f"{FQN}.weightkg was not found after patch"
 
 
 def test_schema_test_has_no_closing_dot(spark):
@@ -199,22 +222,22 @@ def test_schema_test_has_no_closing_dot(spark):
 
 
 def test_product_spellings(spark):
-    products = spark.createDataFrame([(" CSD Core/Silver",), ("A.B",), ("B",)], "fullyQualifiedName string")
-    requests = spark.createDataFrame([("ERP - CSD.CSD Core/Silver",), ("A.B",), ("none",)], "requested string")
+    products = spark.createDataFrame([(" Hub Main/Gold",), ("A.B",), ("B",)], "fullyQualifiedName string")
+    requests = spark.createDataFrame([("Shop - Hub.Hub Main/Gold",), ("A.B",), ("none",)], "requested string")
     got = {r.requested: r.product_fqn for r in scope.resolve_product(requests, products).collect()}
-    assert got == {"ERP - CSD.CSD Core/Silver": " CSD Core/Silver", "A.B": "A.B"}
+    assert got == {"Shop - Hub.Hub Main/Gold": " Hub Main/Gold", "A.B": "A.B"}
 
 
 def test_product_membership(spark):
     tables, _ = catalogue(
         spark,
-        addon(fullyQualifiedName="by-id", dataProducts=[{"id": "dp-id", "fullyQualifiedName": "other"}]),
-        addon(fullyQualifiedName="by-name", dataProducts=[{"id": ""}, {"fullyQualifiedName": " Core"}]),
-        addon(fullyQualifiedName="no", dataProducts=[{"fullyQualifiedName": "Core"}, {"name": ""}]),
-        addon(fullyQualifiedName="none"),
+        parcel(fullyQualifiedName="by-id", dataProducts=[{"id": "prod-9", "fullyQualifiedName": "other"}]),
+        parcel(fullyQualifiedName="by-name", dataProducts=[{"id": ""}, {"fullyQualifiedName": " Core"}]),
+        parcel(fullyQualifiedName="no", dataProducts=[{"fullyQualifiedName": "Core"}, {"name": ""}]),
+        parcel(fullyQualifiedName="none"),
     )
     product = spark.createDataFrame(
-        [("dp-id", " Core", " Core", "")], "id string, name string, fullyQualifiedName string, displayName string"
+        [("prod-9", " Core", " Core", "")], "id string, name string, fullyQualifiedName string, displayName string"
     )
     got = scope.product_members(tables, product).select("table_fqn").orderBy(F.col("table_fqn")).collect()
     assert [r.table_fqn for r in got] == ["by-id", "by-name"]

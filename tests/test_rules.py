@@ -99,7 +99,7 @@ def test_labels(spark):
 def test_descriptions(spark):
     cases = {
         "Description:": None,
-        "Description: Company\n number": "Company number",
+        "Description: Branch\n code": "Branch code",
         "DESCRIPTION: content: x": "x",
         "Content: Description: x": "Description: x",
         "see Description: x": "see Description: x",

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lexiframe.operators.skew import bucketed_rank, hot_key_join, spread_join
+from checks.ranks import bucketed_rank
+from lexiframe.operators.skew import hot_key_join, spread_join
 
 
 @pytest.fixture(scope="module")
