@@ -31,9 +31,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: to find tokens held once, within the corpus, where a collision costs a comparison and no link.
 TOKEN_BITS = 48
 #: Tokens that a task gathers before it sends them.
-FLUSH_TOKENS = 1 << 20
+FLUSH_TOKENS = 1 << 19
 #: Tokens of one verification task; larger groups are dealt with block by block.
-BLOCK_TOKENS = 4 << 20
+BLOCK_TOKENS = 2 << 20
+#: Tokens of candidates that are compared in one step.
+STEP_TOKENS = 1 << 18
 ORDERS = 3
 
 _TOKENS = "bucket int, tokens binary, refs binary, n long, rids array<long>, ids array<long>, sizes array<int>, d1 array<long>, d2 array<long>"
@@ -217,12 +219,12 @@ def _tokens(data: bytes) -> np.ndarray:
 def repeated_tokens(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """(_rid, _id, n, d1, d2, tokens) of each row; tokens only where they can reach the threshold."""
     parts = shared.shuffle_partitions(docs.sparkSession)
-    buckets = parts * 2
+    buckets = parts * 4
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(shingle, buckets)
         for batch in batches:
-            for part in shared.slices(batch, "_text"):
+            for part in shared.slices(batch, "_text", shared.BLOCK_BYTES // 2):
                 yield from sender.add(part)
                 if sender.held > FLUSH_TOKENS:
                     yield from sender.flush()
@@ -253,12 +255,14 @@ def repeated_tokens(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     enough = (F.col("n") > 0) & (size * 100 >= F.col("n") * percent)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [b"".join(p) if p else None for p in batch.column("_parts").to_pylist()]
-            columns = [batch.column(c) for c in ("_rid", "_id", "n", "d1", "d2")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(own, pa.binary())], ["_rid", "_id", "n", "d1", "d2", "tokens"]
-            )
+        for whole in batches:
+            for first in range(0, whole.num_rows, 500):
+                batch = whole.slice(first, 500)
+                own = [b"".join(p) if p else None for p in batch.column("_parts").to_pylist()]
+                columns = [batch.column(c) for c in ("_rid", "_id", "n", "d1", "d2")]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(own, pa.binary())], ["_rid", "_id", "n", "d1", "d2", "tokens"]
+                )
 
     kept = gathered.withColumn("_parts", F.when(enough, F.col("_parts")))
     return kept.mapInArrow(gather, "_rid long, _id long, n int, d1 long, d2 long, tokens binary")
@@ -328,12 +332,7 @@ class Verifier:
             if not len(candidates):
                 continue
             self.verified += len(candidates)
-            base = np.sort(sets[seed])
-            flat = np.concatenate([sets[c] for c in candidates])
-            at = np.minimum(np.searchsorted(base, flat), len(base) - 1)
-            shares = np.concatenate(([0], np.cumsum(base[at] == flat)))
-            stops = np.cumsum([len(sets[c]) for c in candidates])
-            common = np.diff(shares[np.concatenate(([0], stops))])
+            common = self._common(np.sort(sets[seed]), [sets[c] for c in candidates])
             union = sizes[seed] + sizes[candidates] - common
             for c in candidates[100 * common >= self.percent * union].tolist():
                 if parent[c] != parent[seed]:
@@ -341,6 +340,23 @@ class Verifier:
                     parent[parent == parent[c]] = parent[seed]
                     queue.append(c)
 
+    @staticmethod
+    def _common(base: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+        """How many tokens each of the others shares with the sorted base."""
+        out, first = np.zeros(len(others), np.int64), 0
+        while first < len(others):
+            last, held = first, 0
+            while last < len(others) and (last == first or held + len(others[last]) <= STEP_TOKENS):
+                held += len(others[last])
+                last += 1
+            flat = np.concatenate(others[first:last])
+            at = np.minimum(np.searchsorted(base, flat), len(base) - 1)
+            shares = np.concatenate(([0], np.cumsum(base[at] == flat)))
+            stops = np.cumsum([len(x) for x in others[first:last]])
+            out[first:last] = np.diff(shares[np.concatenate(([0], stops))])
+            first = last
+        return out
+
     @staticmethod
     def _pop(queue: list[int], waiting: np.ndarray) -> Iterator[int]:
         while queue:
@@ -360,7 +376,7 @@ def _verify(tasks: DataFrame, percent: int) -> DataFrame:
                 return
             ids = [r[0] for r in rows]
             found = Verifier(percent).links(
-                [_tokens(r[2]) for r in rows],
+                [r[2] for r in rows],
                 np.array([r[1] for r in rows]),
                 np.array([r[3] for r in rows]),
                 np.array([r[4] for r in rows]),
@@ -370,14 +386,16 @@ def _verify(tasks: DataFrame, percent: int) -> DataFrame:
                 arrays = [pa.array([ids[i] for i in u]), pa.array([ids[i] for i in v])]
                 yield pa.RecordBatch.from_arrays(arrays, ["u", "v"])
 
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("_class", "n", "tokens", "_label", "_left")]
-            for task, row in zip(batch.column("_task").to_pylist(), zip(*columns)):
-                if task != current and rows:
-                    yield from done(rows)
-                    rows = []
-                current = task
-                rows.append(row)
+        for whole in batches:
+            for first in range(0, whole.num_rows, 500):
+                batch = whole.slice(first, 500)
+                names = ("_task", "_class", "n", "tokens", "_label", "_left")
+                for task, own, n, data, label, left in zip(*(batch.column(c).to_pylist() for c in names)):
+                    if task != current and rows:
+                        yield from done(rows)
+                        rows = []
+                    current = task
+                    rows.append((own, n, _tokens(data), label, left))
         yield from done(rows)
 
     parts = shared.shuffle_partitions(tasks.sparkSession)
