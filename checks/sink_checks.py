@@ -56,17 +56,29 @@ def sink_key_report(inputs: Inputs) -> DataFrame:
 
 @check(
     "sink_plan_json",
-    over_plan("""SELECT count(*) AS rows, count(*) FILTER (entity_type = 'table') AS explicit_nulls,
-      count(proposed_description) AS descriptions FROM plan"""),
+    over_plan("""SELECT table_fqn, column_name, proposed_display_name, proposed_description, display_name_action,
+      description_action, reason, entity_type = 'table' AS explicit_null FROM plan"""),
 )
 def sink_plan(inputs: Inputs) -> DataFrame:
-    """Null members must be written: table rows have a null `column_name`."""
+    """Every row comes back, and null members are written: table rows have a null `column_name`."""
     path = new_path(inputs.spark, "plan-json")
-    write_json(plan_checks.build_plan(inputs).rows, path)
+    rows = plan_checks.build_plan(inputs).rows
+    write_json(rows, path)
     lines = inputs.spark.read.text(path)
-    explicit = F.contains("value", F.lit('"column_name":null'))
-    return lines.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(explicit).alias("explicit_nulls"),
-        F.count(F.get_json_object("value", "$.proposed_description")).alias("descriptions"),
-    )
+    return lines.select(
+        F.from_json("value", rows.schema).alias("r"),
+        F.contains("value", F.lit('"column_name":null')).alias("explicit_null"),
+    ).select(
+        "r.table_fqn", "r.column_name", "r.proposed_display_name", "r.proposed_description",
+        "r.display_name_action", "r.description_action", "r.reason", "explicit_null",
+    )
+
+
+@check("sink_backup_json", ORACLES["backup_columns"])
+def sink_backup(inputs: Inputs) -> DataFrame:
+    return _json_round_trip(inputs, plan_checks.backup_columns(inputs), "backup-json")
+
+
+@check("sink_results_json", ORACLES["apply_results_continue"])
+def sink_results(inputs: Inputs) -> DataFrame:
+    return _json_round_trip(inputs, plan_checks.apply_results_continue(inputs), "results-json")

@@ -5,10 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lexiframe.operators import patch
 from lexiframe.operators.reconcile import Plan, PlanOptions, reconcile_plan, will_write
+from lexiframe.operators.scope import (
+    product_assets,
+    product_members,
+    resolve_product,
+    scope_active,
+    scope_include,
+    scope_tables,
+)
 from lexiframe.plans.storage import stored
+from lexiframe.sources.documents import active_tables
 
 
 @dataclass(frozen=True)
@@ -45,6 +55,46 @@ def stored_plan(
     )
 
 
+def plan_from_options(
+    src_tables: DataFrame,
+    src_columns: DataFrame,
+    cat_tables: DataFrame,
+    cat_columns: DataFrame,
+    products: DataFrame,
+    assets: DataFrame,
+    requests: DataFrame,
+    options: PlanOptions,
+    configs: DataFrame | None = None,
+    require_membership: bool = True,
+    path: str | None = None,
+) -> Plan:
+    """From sources, catalogue and options to a stored plan.
+
+    Included tables come first, then those of the active lists in `configs(path, text)`, then the
+    scope of the requested product: the active tables, else its assets, else its members.
+    `assets(product_id, assets)` and `requests(requested)` are as for the scope operators.
+    """
+    where = options.service, options.database, options.schema
+    tables = src_tables
+    if options.include_tables:
+        spark = src_tables.sparkSession
+        asked = spark.createDataFrame([(c,) for c in options.include_tables], "table_code string")
+        tables = scope_include(tables, asked, options.source_prefix)
+    active = cat_tables.select("table_fqn").limit(0)
+    if configs is not None:
+        active = scope_active(tables, active_tables(configs), *where)
+        tables = active.drop("table_fqn")
+    found = resolve_product(requests, products).select(F.col("product_fqn").alias("fullyQualifiedName"))
+    chosen = products.join(found, "fullyQualifiedName", "left_semi")
+    owned = product_assets(assets).join(
+        chosen.select(F.col("id").alias("product_id")), "product_id", "left_semi"
+    )
+    names = scope_tables(
+        cat_tables, active, owned, product_members(cat_tables, chosen), *where, require_membership
+    )
+    return stored_plan(tables, src_columns, names, cat_tables, cat_columns, options, path)
+
+
 def apply_plan(
     plan: Plan,
     cat_tables: DataFrame,
