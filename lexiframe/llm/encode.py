@@ -22,7 +22,7 @@ from lexiframe.llm import shared
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Entries a worker keeps for pieces, and for the words in them. Ids are kept as bytes.
-MOST_PIECES, MOST_WORDS = 300_000, 900_000
+MOST_PIECES, MOST_WORDS = 600_000, 1_200_000
 
 _LETTERS = re.compile(r"([^\W\d_]+)")
 _BLANKS = re.compile(r"\s\s")
@@ -68,7 +68,7 @@ class Encoder:
             out += [data[x:y] for x, y in zip(begins, [*ends, len(data)])]
         return out
 
-    def _cut(self, key: str) -> list[str]:
+    def _cut(self, key: str) -> tuple[str, ...]:
         """Parts whose ids together are those of the piece: runs of letters and what is between.
 
         Where a word might not end there (apostrophes, runs of blanks, marks that combine, special
@@ -77,24 +77,24 @@ class Encoder:
         first = key[:1] == "\0"
         bare = key[1:] if first else key
         piece = bare if first or not self.keeps_spaces else " " + bare
-        if bare.isascii():
-            folded = piece.lower() if self.folds else piece
-            if bare.isalpha():
-                return [folded]
-            if bare[-1:] in (".", ",") and bare[:-1].isalpha():
-                return [folded[:-1], bare[-1]]
-        elif not is_normalized("NFC", piece):
-            return [piece]
+        plain = bare.isascii()
+        if not plain and not is_normalized("NFC", bare):
+            return (piece,)
+        if bare.isalpha():
+            return (piece.lower(),) if plain and self.folds else (piece,)
+        if bare[-1:] in (".", ",") and bare[:-1].isalpha():
+            word = piece[:-1]
+            return (word.lower() if plain and self.folds else word, bare[-1])
         if "'" in piece or "<|" in piece or _BLANKS.search(piece):
-            return [piece]
+            return (piece,)
         parts = _LETTERS.split(piece)
         if not all(x.isalpha() for x in parts[1::2]):
-            return [piece]
+            return (piece,)
         if self.keeps_spaces and parts[0] == " " and len(parts) > 1:
             parts[0:2] = [" " + parts[1]]
         if self.folds:
             parts = [x.lower() if x.isascii() else x for x in parts]
-        return [x for x in parts if x]
+        return tuple(x for x in parts if x)
 
     def _learn(self, keys: set[str]) -> None:
         if len(self.words) > MOST_WORDS // 2:
