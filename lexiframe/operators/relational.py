@@ -7,10 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiframe.functions.names import clean_index_name
+from lexiframe.functions.names import clean_index_name, parse_flag
 from lexiframe.operators.pages import index_pages, shred
 from lexiframe.operators.skew import spread_join
-from lexiframe.schemas import FIELD_COLUMNS, INDEX_FIELDS, row_key, with_missing
+from lexiframe.schemas import FIELD_COLUMNS, INDEX_ENTRY, INDEX_FIELDS, row_key, with_missing
 from lexiframe.sources.pages import resolve_pages
 
 
@@ -82,6 +82,75 @@ def parsed_index_links(links: DataFrame, pages: DataFrame, folder: str) -> DataF
     )
 
 
+def annotated_indexes(tables: DataFrame, pages: DataFrame, folder: str) -> DataFrame:
+    """Index entries of `json_tables` rows as `parsed_index_links` gives them.
+
+    Objects keep their names, flags and fields; links are read from their page. Entries of another
+    kind give an index without a name. Places follow the order of documents and entries.
+    """
+    entries = tables.select(
+        "module_code",
+        F.col("table_name").alias("table_id"),
+        "path",
+        F.posexplode("indexes").alias("_at", "_text"),
+    ).withColumn("index_pos", F.concat_ws("/", "path", F.lpad(F.col("_at").cast("string"), 6, "0")))
+    is_object = F.col("_text").startswith("{")
+    entry = F.from_json("_text", INDEX_ENTRY)
+    objects = entries.filter(is_object).withColumn("_entry", entry)
+    own = objects.select(
+        "module_code",
+        "table_id",
+        "index_pos",
+        F.coalesce("_entry.name", F.lit("")).alias("index_name"),
+        parse_flag(F.col("_entry.primary")).alias("is_primary"),
+        parse_flag(F.col("_entry.unique")).alias("is_unique"),
+        parse_flag(F.col("_entry.word")).alias("is_word"),
+        F.coalesce("_entry.source_file", F.lit("")).alias("source_file"),
+        F.coalesce(
+            F.transform(
+                "_entry.fields",
+                lambda f: F.struct(
+                    f["sequence"].try_cast("bigint").alias("field_sequence"),
+                    f["name"].alias("field_name"),
+                    f["order"].alias("field_order"),
+                    f["abbreviated"].alias("abbreviated"),
+                ),
+            ),
+            F.array().cast(INDEX_FIELDS),
+        ).alias("fields"),
+    )
+    link = F.from_json("_text", "array<string>")
+    others = entries.filter(~is_object).withColumn("_link", link)
+    is_link = F.coalesce(F.size("_link"), F.lit(0)) > 0
+    links = others.filter(is_link).select(
+        "module_code",
+        "table_id",
+        "index_pos",
+        F.get("_link", F.lit(0)).alias("filename"),
+        F.get("_link", F.lit(1)).alias("path"),
+    )
+    nameless = others.filter(~is_link).select(
+        "module_code",
+        "table_id",
+        "index_pos",
+        F.lit("").alias("index_name"),
+        *[F.lit(None).cast("boolean").alias(c) for c in ("is_primary", "is_unique", "is_word")],
+        F.lit("").alias("source_file"),
+        F.array().cast(INDEX_FIELDS).alias("fields"),
+    )
+    return own.unionByName(parsed_index_links(links, pages, folder)).unionByName(nameless)
+
+
+def annotated_fields(fields: DataFrame) -> DataFrame:
+    """`json_fields` rows in the form that `rel_fields` takes; places include the document."""
+    return fields.withColumnsRenamed({"field_type": "type", "table_name": "table_id"}).withColumns(
+        {
+            "indexes": F.from_json("indexes", "array<string>"),
+            "field_pos": F.concat_ws("/", "path", F.lpad(F.col("field_pos").cast("string"), 10, "0")),
+        }
+    )
+
+
 def rel_indexes(entries: DataFrame) -> DataFrame:
     """`entries` are parsed links and dictionary entries alike; flags become 1, 0 or null."""
     return entries.select(

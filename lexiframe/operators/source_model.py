@@ -30,12 +30,7 @@ from lexiframe.functions.text import (
     strip,
 )
 from lexiframe.operators.skew import spread_join
-from lexiframe.schemas import FIELD_COLUMNS, INDEX_FIELDS, with_missing
-
-_INDEX_ENTRY = (
-    "struct<name: string, primary: string, unique: string, word: string, "
-    "fields: array<struct<sequence: string, name: string, order: string, abbreviated: string>>>"
-)
+from lexiframe.schemas import FIELD_COLUMNS, INDEX_ENTRY, INDEX_FIELDS, with_missing
 
 
 def normalize_sources(
@@ -265,7 +260,7 @@ def json_indexes(entries: Column, table_code: Column) -> Column:
         )
 
     def one(text: Column) -> Column:
-        entry = F.when(text.startswith("{"), F.from_json(text, _INDEX_ENTRY))
+        entry = F.when(text.startswith("{"), F.from_json(text, INDEX_ENTRY))
         link = F.from_json(text, "array<string>")
         link_name = clean_identifier(without_table_prefix(stem(link[0]), table_code))
         return F.struct(

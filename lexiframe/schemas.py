@@ -53,6 +53,11 @@ INDEX_FIELDS = (
     "array<struct<field_sequence: bigint, field_name: string, field_order: string, "
     "abbreviated: string>>"
 )
+#: An index entry of an annotation document; flags and numbers come in several spellings.
+INDEX_ENTRY = (
+    "struct<name: string, primary: string, unique: string, word: string, source_file: string, "
+    "fields: array<struct<sequence: string, name: string, order: string, abbreviated: string>>>"
+)
 
 
 def with_missing(frame: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,5 +67,9 @@ def with_missing(frame: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def row_key(*parts: Column, seq: Column) -> Column:
-    """Key of a row of a table, made of the table's own key and the row's place in it."""
-    return F.concat_ws("/", *parts, F.lpad(seq.cast("string"), 10, "0"))
+    """Key of a row of a table, made of the table's own key and the row's place in it.
+
+    A place that is a text (of a row that came from a document) is longer than a number's padding.
+    """
+    text = seq.cast("string")
+    return F.concat_ws("/", *parts, F.when(F.length(text) > 10, text).otherwise(F.lpad(text, 10, "0")))

@@ -34,6 +34,8 @@ _ANNOTATIONS = (
     "struct<title: string, indexes: array<string>, triggers: array<array<string>>, "
     f"fields: map<string, {_FIELD}>>>>>>"
 )
+#: The same without fields, which are the larger part of a document.
+_ANNOTATED_TABLES = _ANNOTATIONS.replace(f", fields: map<string, {_FIELD}>", "")
 _DICTIONARY = (
     "struct<modules: map<string, struct<code: string, title: string, tables: map<string, "
     "struct<filename: string, title: string, indexes: array<array<string>>, "
@@ -125,7 +127,7 @@ def json_dictionary(documents: DataFrame) -> DataFrame:
 
 def json_tables(documents: DataFrame) -> DataFrame:
     """Annotation documents as one row per table, without its fields."""
-    return _tables(documents, _ANNOTATIONS).drop("fields")
+    return _tables(documents, _ANNOTATED_TABLES)
 
 
 def json_fields(documents: DataFrame) -> DataFrame:
@@ -152,6 +154,60 @@ def json_fields(documents: DataFrame) -> DataFrame:
     ).withColumnRenamed("type", "field_type")
 
 
+def dictionary_documents(tables: DataFrame) -> DataFrame:
+    """`dictionary_tables` as documents `(text)` that `json_dictionary` reads, one for each table."""
+
+    def pairs(links: str) -> Column:
+        return F.transform(links, lambda link: F.array(link["filename"], link["path"]))
+
+    table = F.struct(
+        "filename",
+        F.when(F.col("error").isNull(), F.col("title")).alias("title"),
+        pairs("indexes").alias("indexes"),
+        pairs("fields").alias("fields"),
+        "triggers",
+        "error",
+    )
+    return tables.select(_document(F.col("module_code"), F.col("module_title"), F.col("table_name"), table))
+
+
+def annotation_documents(tables: DataFrame, fields: DataFrame, block: int = 1000) -> DataFrame:
+    """Tables and annotated fields as documents `(text)` that `json_tables` and `json_fields` read.
+
+    A table has one document for every `block` places of its fields, so no document grows with a
+    table, and one without fields that holds its links.
+    """
+    names = [c for c in fields.columns if c not in ("module_code", "table_id", "field_name", "field_pos")]
+    entry = F.struct("field_pos", "field_name", F.struct(*names).alias("field"))
+    blocks = fields.groupBy(
+        "module_code", "table_id", F.floor(F.col("field_pos") / block).alias("_block")
+    ).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    as_map = F.map_from_entries(
+        F.transform("entries", lambda e: F.struct(e["field_name"].alias("key"), e["field"].alias("value")))
+    )
+    links = F.transform("indexes", lambda link: F.array(link["filename"], link["path"]))
+    whole = tables.select(
+        _document(
+            F.col("module_code"), F.lit(None).cast("string"), F.col("table_id"),
+            F.struct("title", links.alias("indexes"), "triggers"),
+        )
+    )
+    parts = blocks.select(
+        _document(
+            F.col("module_code"), F.lit(None).cast("string"), F.col("table_id"),
+            F.struct(as_map.alias("fields")),
+        )
+    )
+    return whole.unionByName(parts)
+
+
+def _document(code: Column, module_title: Column, name: Column, table: Column) -> Column:
+    module = F.struct(
+        code.alias("code"), module_title.alias("title"), F.create_map(name, table).alias("tables")
+    )
+    return F.to_json(F.struct(F.create_map(code, module).alias("modules"))).alias("text")
+
+
 def catalog_tables(documents: DataFrame) -> DataFrame:
     """Catalogue table objects, one document each. Presence of a key is kept apart from null."""
     keys = F.json_object_keys("text")
