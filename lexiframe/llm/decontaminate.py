@@ -174,6 +174,8 @@ def build(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> Au
     return Automaton([(name, words_of(text)) for name, text in ordered if name is not None], window)
 
 
+ADDED = ["n_words", "n_hit", "items", "spans"]
+
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
@@ -197,7 +199,7 @@ def contamination(
     automaton = docs.sparkSession.sparkContext.broadcast(
         build(benchmark, item_col, item_text_col, window)
     )
-    added = ["n_words", "n_hit", "items", "spans"]
+    added = ADDED
     kept = docs.drop(*added)
     schema = T.StructType(
         [
@@ -244,20 +246,22 @@ def drop_contaminated(
 ) -> DataFrame:
     """Rows of `docs` whose longest span has at most `max_span` words and whose hit words make up
     at most `max_coverage` of all words. Both at 0 keep only documents without any hit."""
-    judged = contamination(docs, benchmark, text_col=text_col, window=window, **columns)
+    kept_as, moved = shared.set_aside(docs, ADDED)
+    judged = contamination(kept_as, benchmark, text_col=text_col, window=window, **columns)
     longest = F.coalesce(F.array_max(F.transform("spans", lambda s: s["end"] - s["start"])), F.lit(0))
     share = F.when(F.col("n_words") > 0, F.col("n_hit") / F.col("n_words")).otherwise(0.0)
     kept = judged.filter((longest <= max_span) & (share <= max_coverage))
-    return kept.select([F.col(f"`{c}`") for c in docs.columns])
+    return kept.select([F.col(f"`{c}`") for c in kept_as.columns]).withColumnsRenamed(moved)
 
 
 def strip_spans(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", min_span: int = 1, **options
 ) -> DataFrame:
     """`docs` with every hit span of at least `min_span` words cut out of the text."""
-    judged = contamination(docs, benchmark, text_col=text_col, **options)
-    names = docs.columns
-    schema = docs.schema
+    kept_as, moved = shared.set_aside(docs, ADDED)
+    judged = contamination(kept_as, benchmark, text_col=text_col, **options)
+    names = kept_as.columns
+    schema = kept_as.schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,7 +274,7 @@ def strip_spans(
             columns = [pa.array(done, pa.string()) if n == text_col else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return judged.mapInArrow(cut, schema)
+    return judged.mapInArrow(cut, schema).withColumnsRenamed(moved)
 
 
 def cut_words(text: str | None, spans: list[tuple[int, int]]) -> str | None:

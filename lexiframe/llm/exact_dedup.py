@@ -71,4 +71,4 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns."""
     kept = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_keep"))
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")

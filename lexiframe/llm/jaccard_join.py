@@ -535,4 +535,4 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = jaccard_components(docs, id_col, text_col, **options)
     same = F.col(id_col).eqNullSafe(F.col("component_id"))
     kept = found.filter(same).select(F.col(id_col).alias("_keep"))
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_keep")), "left_semi")
+    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")

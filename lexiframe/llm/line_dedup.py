@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiframe.llm.shared import lower_ascii, shuffle_partitions, stored
+from lexiframe.llm.shared import lower_ascii, set_aside, shuffle_partitions, stored
 
 BLANKS = " \t\n\x0b\f\r"
 
@@ -118,13 +118,9 @@ def line_dedup(
     four result columns replace columns of the same names; an empty table gives none.
     """
     bitmaps = line_bitmaps(docs, id_col, text_col, min_chars)
-    added = ["n_lines", "n_dropped", "keep_bitmap", "kept_text"]
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in added]
-    rows = docs.select(
-        *own,
-        F.col(id_col).alias("_id"),
-        F.xxhash64(F.col(text_col)).alias("_hash"),
-    )
+    docs = docs.drop("n_lines", "n_dropped", "keep_bitmap", "kept_text")
+    docs, moved = set_aside(docs, ["_id", "_hash", "_doc", "_row", "_dropped", "_lines", "_flags"])
+    rows = docs.withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(F.col(text_col))})
     joined = rows.join(
         bitmaps, (F.col("_id") == F.col("_doc")) & (F.col("_hash") == F.col("_row")), "left"
     )
@@ -134,12 +130,11 @@ def line_dedup(
         F.transform(F.col("keep_bitmap"), lambda n, i: F.array_repeat(i % 2 == 0, n))
     )
     kept = F.filter(F.col("_lines"), lambda line, i: F.get(F.col("_flags"), i))
-    names = [c for c in docs.columns if c not in added]
     return (
         joined.withColumns({"_lines": lines, "keep_bitmap": runs})
         .withColumn("_flags", flags)
         .select(
-            *[F.col(f"`{c}`") for c in names],
+            *[F.col(f"`{c}`") for c in docs.columns],
             F.size("_lines").cast("bigint").alias("n_lines"),
             F.coalesce(F.size("_dropped"), F.lit(0)).cast("bigint").alias("n_dropped"),
             "keep_bitmap",
@@ -147,4 +142,5 @@ def line_dedup(
             .otherwise(F.array_join(kept, "\n"))
             .alias("kept_text"),
         )
+        .withColumnsRenamed(moved)
     )

@@ -21,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 __all__ = [
     "attach",
     "lower_ascii",
+    "set_aside",
     "shuffle_partitions",
     "slices",
     "stored",
@@ -67,6 +68,21 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str, share: int =
     return found.unionByName(others.join(cold, key, "left").select(*rows.columns, *names))
 
 
+def set_aside(docs: DataFrame, names: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """`docs` without columns of these names: such columns get free names, which are returned, so
+    that a result can have them back."""
+    taken = {c.lower() for c in docs.columns}
+    clashing = {c for c in docs.columns if c.lower() in {n.lower() for n in names}}
+    moved = {}
+    for column in sorted(clashing):
+        free = f"own_{column}"
+        while free.lower() in taken:
+            free = f"own_{free}"
+        taken.add(free.lower())
+        moved[free] = column
+    return docs.withColumnsRenamed({column: free for free, column in moved.items()}), moved
+
+
 def worker_state() -> dict:
     """A dict that lives as long as the Python worker, across its tasks."""
     name = "_lexiframe_worker_state"

@@ -73,8 +73,8 @@ class Composed:
         if key not in self.cache:
             a, mark, weight = self.first.step(state[0], word)
             b, own, more = self.second.step(state[1], word)
-            if mark:
-                b, other, extra = self.second.step(b, f"<{mark}>")
+            for event in mark.split("+") if mark else ():
+                b, other, extra = self.second.step(b, f"<{event}>")
                 own, more = (own + "+" + other).strip("+"), more + extra
             marks = "+".join(x for x in (mark, own) if x)
             self.cache[key] = ((a, b), marks, weight + more)
