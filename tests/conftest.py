@@ -12,11 +12,12 @@ from lexiframe.session import with_settings  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         with_settings(SparkSession.builder.master("local[8]"))
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("stored")))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
