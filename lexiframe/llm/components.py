@@ -24,20 +24,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Does every node point to one node at most, and none to a node that points on?"""
+    roles = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    roles = roles.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    nodes = roles.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return nodes.filter("out > 1 OR (out > 0 AND into > 0)").isEmpty()
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(u, v): each node that is not the smallest of its component, with the smallest.
 
     `edges` has bigint columns u and v; loops and repeated rows are harmless. The number of rounds
     grows with the logarithm of the longest chain. Every round is a stored table.
     """
-    current = stored(edges.filter("u != v").select("u", "v").distinct(), "edges")
-    state = None
+    down = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    current = stored(down.distinct(), "edges")
     for _ in range(most_rounds):
-        count, total = current.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").bitwiseAND(0xFFFFFFFF)), F.lit(0))
-        ).first()
-        if (count, total) == state or not count:
+        if _settled(current):
             return current
-        state = (count, total)
         current = stored(_small_star(_large_star(current)), "edges")
     raise RuntimeError(f"components not settled after {most_rounds} rounds")

@@ -196,8 +196,9 @@ def contamination(
     named once. Rows that repeat an id are judged one by one. An empty benchmark hits nothing. The
     four result columns replace columns of the same names.
     """
+    # Pickled with its class, so executors need no installed copy of this package.
     automaton = docs.sparkSession.sparkContext.broadcast(
-        build(benchmark, item_col, item_text_col, window)
+        cloudpickle.dumps(build(benchmark, item_col, item_text_col, window))
     )
     added = ADDED
     kept = docs.drop(*added)
@@ -213,7 +214,7 @@ def contamination(
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton.value
+        machine = cloudpickle.loads(automaton.value)
         for batch in batches:
             for part in shared.slices(batch, text_col):
                 n_words, n_hit, items, spans = [], [], [], []

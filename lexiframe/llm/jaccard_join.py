@@ -1,11 +1,11 @@
 """Exact n-gram Jaccard join with prefix filters under several global token orders.
 
-A token is the hash of a word shingle. In a global order that ranks tokens of one document first, a
-document needs only tokens that other documents hold as well: two sets whose similarity reaches the
-threshold share all but a few of their tokens. One pass therefore finds the tokens that are held
-more than once, and documents with too many tokens of their own are done. The others are grouped by
-shared prefix tokens under one order; inside a group, pairs must share prefix tokens under all
-orders before their sets are compared.
+A token is the hash of a word shingle. All orders rank tokens of few documents first, and differ
+among tokens of similar frequency. Two sets whose similarity reaches the threshold share all but a
+few of their tokens; tokens that no other document holds come first of all, so documents with too
+many of those are done after the pass that counts tokens. The others are grouped by shared prefix
+tokens under one order; inside a group, pairs must share prefix tokens under all orders before their
+sets are compared.
 
 Nothing enumerates the pairs of a group: equal sets are one class, groups are linked through their
 smallest member, and a class that is connected already is not compared with its component again.
@@ -30,6 +30,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Tokens are hashes of this many bits. They are only ever compared within pairs of documents and,
 #: to find tokens held once, within the corpus, where a collision costs a comparison and no link.
 TOKEN_BITS = 48
+#: Once counted, a token also carries the logarithm of its document frequency, up to this class.
+TOP_CLASS = 8
+_WIDTH = 7  # bytes of a token with its class
 #: Tokens that a task gathers before it sends them.
 FLUSH_TOKENS = 1 << 19
 #: Tokens of one verification task; larger groups are dealt with block by block.
@@ -85,8 +88,9 @@ _SCHEMA = pa.schema(
 
 
 class _Sender:
-    """Tokens of one task by bucket. Tokens that the task holds more than once are known to repeat:
-    their documents are told so at once, and one entry without a document goes to the bucket."""
+    """Tokens of one task by bucket. Tokens that a flush holds often enough for the top class need
+    no counting: their documents are told at once, by way of any bucket, and one entry without a
+    document goes to the token's bucket."""
 
     def __init__(self, shingle: int, buckets: int):
         self.shingle, self.buckets, self.rows = shingle, buckets, 0
@@ -136,12 +140,18 @@ class _Sender:
             if low == high:
                 continue
             own, refs = token[low:high], owner[low:high].astype(np.uint64) + np.uint64(1)
-            new = np.concatenate(([True], own[1:] != own[:-1]))
-            many = ~new | np.concatenate((~new[1:], [False]))
-            yield from self._send(b, own[many], refs[many], known=True)
+            starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+            sizes = np.diff(np.append(starts, len(own)))
+            often = sizes >= 1 << TOP_CLASS
+            top = np.repeat(often, sizes)
+            place = (b + self.first) % self.buckets
+            yield from self._send(place, own[top], refs[top], known=True)
             # 0 refers to no document: the token stands for those that are told already.
-            entry = np.where(many, np.uint64(0), refs)[new]
-            yield from self._send(b, own[new], entry, known=False)
+            marks = np.zeros(int(often.sum()), np.uint64)
+            tokens = np.concatenate((own[~top], own[starts[often]]))
+            order = np.argsort(tokens, kind="stable")
+            entries = np.concatenate((refs[~top], marks))[order]
+            yield from self._send(b, tokens[order], entries, known=False)
         self.clear()
         pa.default_memory_pool().release_unused()
 
@@ -165,8 +175,8 @@ def _by_document(rid: np.ndarray, token: np.ndarray) -> Iterator[pa.RecordBatch]
     order = np.argsort(rid, kind="stable")
     rid, token = rid[order], token[order]
     edges = np.flatnonzero(np.concatenate(([True], rid[1:] != rid[:-1])))
-    width = token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : TOKEN_BITS // 8]
-    offsets = np.append(edges, len(rid)) * (TOKEN_BITS // 8)
+    width = token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_WIDTH]
+    offsets = np.append(edges, len(rid)) * _WIDTH
     values = pa.Array.from_buffers(
         pa.large_binary(),
         len(edges),
@@ -193,7 +203,7 @@ def _repeated(rows: list[dict]) -> Iterator[pa.RecordBatch]:
         refs = _unpack(row["refs"], n, np.uint32).astype(np.int64)
         rid = np.where(refs > 0, refs + row["rids"][0], -1)
         if row["n"] < 0:
-            yield from _by_document(rid, own)
+            yield from _by_document(rid, own | np.uint64(TOP_CLASS << TOKEN_BITS))
         else:
             tokens.append(own)
             rids.append(rid)
@@ -202,17 +212,19 @@ def _repeated(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     token, rid = np.concatenate(tokens), np.concatenate(rids)
     order = np.argsort(token, kind="stable")
     token, rid = token[order], rid[order]
-    same = token[1:] == token[:-1]
-    many = np.concatenate(([False], same)) | np.concatenate((same, [False]))
-    many &= rid >= 0
-    # A token of one task only, held there several times, was told there.
-    yield from _by_document(rid[many], token[many])
+    starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+    sizes = np.diff(np.append(starts, len(token)))
+    held = np.add.reduceat((rid >= 0).astype(np.int64), starts)
+    held[np.add.reduceat((rid < 0).astype(np.int64), starts) > 0] = 1 << TOP_CLASS
+    classes = np.minimum(np.log2(held).astype(np.uint64), np.uint64(TOP_CLASS))
+    told = np.repeat(held > 1, sizes) & (rid >= 0)
+    token = token | np.repeat(classes << np.uint64(TOKEN_BITS), sizes)
+    yield from _by_document(rid[told], token[told])
 
 
 def _tokens(data: bytes) -> np.ndarray:
-    width = TOKEN_BITS // 8
-    out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(-1, width)
+    out = np.zeros((len(data) // _WIDTH, 8), np.uint8)
+    out[:, :_WIDTH] = np.frombuffer(data, np.uint8).reshape(-1, _WIDTH)
     return out.view("<u8").ravel().astype(np.uint64)
 
 
@@ -251,7 +263,7 @@ def repeated_tokens(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     )
     firsts = [F.max(c).alias(c) for c in ("_id", "n", "d1", "d2")]
     gathered = found.groupBy("_rid").agg(*firsts, F.collect_list("tokens").alias("_parts"))
-    size = F.aggregate("_parts", F.lit(0), lambda a, x: a + F.octet_length(x)) / (TOKEN_BITS // 8)
+    size = F.aggregate("_parts", F.lit(0), lambda a, x: a + F.octet_length(x)) / _WIDTH
     enough = (F.col("n") > 0) & (size * 100 >= F.col("n") * percent)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,8 +286,9 @@ def _needed(n, percent: int):
 
 
 def _ranked(tokens: np.ndarray, order: int) -> np.ndarray:
-    """The tokens in the global order of this number."""
-    return tokens[np.argsort(words.mix(tokens + np.uint64((order + 1) << 52)))]
+    """The tokens in the global order of this number: rare classes first, then by its own hash."""
+    mixed = words.mix(tokens + np.uint64((order + 1) << 56))
+    return tokens[np.lexsort((mixed, tokens >> np.uint64(TOKEN_BITS)))]
 
 
 class Verifier:
@@ -365,8 +378,26 @@ class Verifier:
                 yield x
 
 
+def _stars(links: list[tuple[int, int]], ids: list[int]) -> dict[int, int]:
+    """Each linked id that is not the smallest of its component, with the smallest."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, j in links:
+        a, b = find(ids[i]), find(ids[j])
+        root[max(a, b)] = min(a, b)
+    return {x: find(x) for x in root if find(x) != x}
+
+
 def _verify(tasks: DataFrame, percent: int) -> DataFrame:
-    """(u, v) links found in tasks: rows (_task, _class, n, tokens, _label, _left), sorted by task."""
+    """(u, v): each class that a task links, with the smallest of its component in the task.
+
+    Tasks are rows (_task, _class, n, tokens, _label, _left).
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows = None, []
@@ -381,10 +412,11 @@ def _verify(tasks: DataFrame, percent: int) -> DataFrame:
                 np.array([r[3] for r in rows]),
                 np.array([r[4] for r in rows]),
             )
-            if found:
-                u, v = zip(*found)
-                arrays = [pa.array([ids[i] for i in u]), pa.array([ids[i] for i in v])]
-                yield pa.RecordBatch.from_arrays(arrays, ["u", "v"])
+            least = _stars(found, ids)
+            if least:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(least.keys(), pa.int64()), pa.array(least.values(), pa.int64())], ["u", "v"]
+                )
 
         for whole in batches:
             for first in range(0, whole.num_rows, 500):
@@ -443,7 +475,8 @@ def class_links(classes: DataFrame, percent: int, block_tokens: int | None = Non
     alone = many.withColumns(
         {"_task": F.struct("_group", block.alias("a"), F.lit(0).alias("b")), "_label": F.col("_class"), "_left": F.lit(True)}
     )
-    links = components(_verify(alone, percent))
+    # A group of one block is a task of its own, so the task's components are final.
+    links = shared.stored(_verify(alone, percent), "links")
     large = many.filter("_blocks > 1")
     if large.isEmpty():
         return links

@@ -191,12 +191,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             T.StructField("rejected", T.BooleanType()),
         ]
     )
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    # Pickled with its class, so executors need no installed copy of this package.
+    shipped = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = cloudpickle.loads(shipped.value)
         for batch in batches:
             for part in shared.slices(batch, text_col):
-                found = shipped.value.predict(part.column(text_col).to_pylist())
+                found = own.predict(part.column(text_col).to_pylist())
                 types = (pa.string(), pa.float64(), pa.bool_())
                 columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate(types)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *added])

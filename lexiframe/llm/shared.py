@@ -13,8 +13,6 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.plans.storage import stored
-
 # Helpers travel with the job, so executors need no installed copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -41,6 +39,13 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """Write a step into the shared folder and read it back."""
+    from lexiframe.plans import storage
+
+    return storage.stored(frame, name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

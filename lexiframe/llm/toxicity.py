@@ -350,12 +350,14 @@ def toxicity(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
     schema = T.StructType(
         [*kept.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
     )
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    # Pickled with its class, so executors need no installed copy of this package.
+    shipped = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = cloudpickle.loads(shipped.value)
         for batch in batches:
             for part in shared.slices(batch, text_col):
-                scores = list(map(shipped.value.score, part.column(text_col).to_pylist()))
+                scores = list(map(own.score, part.column(text_col).to_pylist()))
                 columns = [
                     pa.array(scores, pa.float64()),
                     pa.array([int(s >= threshold) for s in scores], pa.int32()),
