@@ -7,6 +7,7 @@ pieces and of words it has met, up to a bound, and only the others go through th
 
 from __future__ import annotations
 
+import os
 import re
 import sys
 from array import array
@@ -32,6 +33,8 @@ class Encoder:
     """`keeps_spaces`: a word's ids depend on the space before it (byte-level vocabularies)."""
 
     def __init__(self, path: str):
+        # A task has one core; the library would start a thread for every core of the machine.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -57,7 +60,7 @@ class Encoder:
         """Many words in one call, parted by a special token, at which the tokenizer starts anew."""
         if self.mark is None:
             return self._encode(words)
-        groups = [words[i : i + 64] for i in range(0, len(words), 64)]
+        groups = [words[i : i + 16] for i in range(0, len(words), 16)]
         texts = [self.mark.join(g) for g in groups]
         out: list[bytes] = []
         for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
