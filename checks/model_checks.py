@@ -322,9 +322,8 @@ _STAMPED = _FLAGS.replace("column_name = 'transdttmz'", "regexp_matches(column_n
 @check("key_flags", with_views(_STAMPED))
 def key_flags(inputs: Inputs) -> DataFrame:
     """Some of the `trans` columns get the name of the time stamp, so both flags vary."""
-    named = F.regexp_replace("field_name", "trans[0-9]*[05]$", "transdttmz")
-    fields = inputs.dict_fields.withColumn("field_name", named)
-    stamped = keys.trans_columns(fields, inputs.rel_tables)
+    named = F.regexp_replace("column_name", "^trans[0-9]*[05]$", "transdttmz")
+    stamped = _trans(inputs).withColumn("column_name", named)
     return keys.key_flags(inputs.rel_tables, _unique(inputs), stamped)
 
 
