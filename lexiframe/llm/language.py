@@ -65,7 +65,12 @@ class Model:
     floor: np.ndarray  # least cosine that each language accepts
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        return unit(np.log1p(counts) * self.idf)
+        """The counts as unit vectors, in place."""
+        np.log1p(counts, out=counts)
+        counts *= self.idf
+        lengths = np.linalg.norm(counts, axis=1, keepdims=True)
+        counts /= np.where(lengths > 0, lengths, 1)
+        return counts
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, cosine with its nearest centroid, rejected) of each text."""
@@ -104,7 +109,7 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     order: Column | None = None,
-    most_rows: int = 4000,
+    most_rows: int = 2000,
     most_languages: int = 64,
     clusters: int = 4,
     margin: float = 0.3,
@@ -140,24 +145,25 @@ def fit(
                     continue
                 found = features(text)
                 places = np.flatnonzero(found)
-                row = {"_lang": lang, "_order": at, "at": places.astype(np.int32), "n": found[places]}
-                yield pa.RecordBatch.from_pylist([row], pa.schema(
-                    [("_lang", pa.string()), ("_order", pa.int64()), ("at", pa.list_(pa.int32())), ("n", pa.list_(pa.float32()))]
-                ))
+                # The driver gathers bytes, not lists.
+                packed = places.astype(np.uint16).tobytes(), found[places].tobytes()
+                columns = [pa.array([x]) for x in (lang, at, *packed)]
+                yield pa.RecordBatch.from_arrays(columns, ["_lang", "_order", "at", "n"])
 
-    gathered = sample.mapInArrow(count, "_lang string, _order long, at array<int>, n array<float>").collect()
+    counted = sample.mapInArrow(count, "_lang string, _order long, at binary, n binary")
     taken: dict[str, list] = {}
-    for row in sorted(gathered, key=lambda r: (r["_lang"], r["_order"], r["at"])):
-        own = taken.setdefault(row["_lang"], [])
+    gathered = [tuple(row) for row in counted.collect()]
+    for lang, _, places, numbers in sorted(gathered):
+        own = taken.setdefault(lang, [])
         if len(own) < each:
-            own.append((row["at"], row["n"]))
+            own.append((np.frombuffer(places, np.uint16), np.frombuffer(numbers, np.float32)))
     del gathered
     document_count = np.zeros(DIMENSIONS, np.float32)
     for own in taken.values():
         for at, _ in own:
             document_count[at] += 1
     total = sum(map(len, taken.values()))
-    model = Model(sorted(taken), np.log((1 + total) / (1 + document_count)) + 1, None, None, None)
+    model = Model(sorted(taken), (np.log((1 + total) / (1 + document_count)) + 1).astype(np.float32), None, None, None)
     centres, owner, floor = [], [], []
     for number, language in enumerate(model.languages):
         rows_of = np.zeros((len(taken[language]), DIMENSIONS), np.float32)
