@@ -25,8 +25,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that similarity links connect, the one with the smallest id stays."""
-    return jaccard_join.drop_near_copies(docs).select(*COLUMNS)
+    """Of documents that similarity links connect, the one with the smallest id stays. Links have
+    0.8 or more of their runs of five words in common."""
+    return jaccard_join.drop_near_copies(docs, shingle=5, percent=80).select(*COLUMNS)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

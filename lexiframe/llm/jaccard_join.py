@@ -563,9 +563,18 @@ def jaccard_components(
     )
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their component, with all columns."""
-    found = jaccard_components(docs, id_col, text_col, **options)
+def drop_near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 5,
+    percent: int = 80,
+    **options,
+) -> DataFrame:
+    """The rows of `docs` whose id is the smallest of their component, with all columns.
+
+    The defaults are the rule for stages of a pipeline: five words, similarity 0.8."""
+    found = jaccard_components(docs, id_col, text_col, shingle=shingle, percent=percent, **options)
     same = F.col(id_col).eqNullSafe(F.col("component_id"))
     kept = found.filter(same).select(F.col(id_col).alias("_keep"))
     return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")

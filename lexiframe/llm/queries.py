@@ -91,7 +91,7 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, folder, "documents"))
+    return jaccard_join.jaccard_components(table(spark, folder, "documents"), shingle=4, percent=85)
 
 
 def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
