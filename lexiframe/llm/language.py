@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 DIMENSIONS = 1 << 14
 SIZES = (1, 2, 3, 4)
 UNDETERMINED = "und"
+#: N-grams of a text below which its cosine, and so what a language accepts, falls with their root.
+SHORT = 256
 
 _LETTER = re.compile(r"[^\W\d_]")
 # ASCII other than letters parts words; all bytes of other characters are kept.
@@ -62,7 +64,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # one row each
     owner: np.ndarray  # language of each centroid
-    floor: np.ndarray  # least cosine that each language accepts
+    floor: np.ndarray  # least cosine that each language accepts of texts that are not short
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
         """The counts as unit vectors, in place."""
@@ -80,15 +82,23 @@ class Model:
             return out
         for first in range(0, len(known), 64):
             part = known[first : first + 64]
-            near = self.vectors(np.stack([features(texts[i]) for i in part])) @ self.centroids.T
+            counts = np.stack([features(texts[i]) for i in part])
+            reached = reach(counts)
+            near = self.vectors(counts) @ self.centroids.T
             best = near.argmax(axis=1)
             for row, (i, c) in enumerate(zip(part, best.tolist())):
                 cosine = float(min(max(near[row, c], 0.0), 1.0))
                 language = self.owner[c]
-                out[i] = (self.languages[language], cosine, cosine < self.floor[language])
+                rejected = bool(cosine < self.floor[language] * reached[row])
+                out[i] = (self.languages[language], cosine, rejected)
         return out
 
 
+def reach(counts: np.ndarray) -> np.ndarray:
+    """Share of a long text's cosine that can be asked of each text, by its number of n-grams."""
+    return np.minimum(1, np.sqrt(counts.sum(axis=1, dtype=np.float64) / SHORT))
+
+
 def cluster(rows: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     """Spherical k-means; the first centres are the rows farthest from those before them."""
     centres = unit(rows.mean(axis=0, keepdims=True))
@@ -104,6 +114,13 @@ def cluster(rows: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
+def common(centres: np.ndarray, rows: np.ndarray, share: float = 0.02) -> np.ndarray:
+    """The centres without those of fewer than `share` of the rows, or of one row: these are rows that
+    are not in the language, and would attract whatever is not."""
+    sizes = np.bincount((rows @ centres.T).argmax(axis=1), minlength=len(centres))
+    return centres[(sizes >= max(2, share * len(rows))) | (sizes == sizes.max())]
+
+
 def fit(
     labelled: DataFrame,
     text_col: str = "text",
@@ -112,12 +129,13 @@ def fit(
     most_rows: int = 2000,
     most_languages: int = 64,
     clusters: int = 4,
-    margin: float = 0.3,
+    margin: float = 0.65,
 ) -> Model:
     """A model from at most `most_rows` labelled rows, the same number of each language, chosen by a
     hash; the `most_languages` most frequent values are learned. Rows with a null text or language,
-    or without a letter, teach nothing. `margin` is the share of the smallest cosine seen in a
-    language's sample down to which a text is accepted."""
+    or without a letter, teach nothing. `margin` is the share down to which a text is accepted of the
+    cosine that 99 of 100 of a language's sampled texts reach (relative to their length, see `reach`);
+    it is smaller by 1/sqrt(n + 1) of itself where only n texts are sampled."""
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     rows = rows.select(
         F.col(text_col).alias("_text"),
@@ -169,9 +187,11 @@ def fit(
         rows_of = np.zeros((len(taken[language]), DIMENSIONS), np.float32)
         for row, (at, n) in enumerate(taken[language]):
             rows_of[row, at] = n
+        reached = reach(rows_of)
         rows_of = model.vectors(rows_of)
-        own = cluster(rows_of, clusters)
-        floor.append(margin * float((rows_of @ own.T).max(axis=1).min()))
+        own = common(cluster(rows_of, clusters), rows_of)
+        cosines = np.minimum((rows_of @ own.T).max(axis=1) / reached, 1)
+        floor.append(margin * (1 - (len(cosines) + 1) ** -0.5) * float(np.quantile(cosines, 0.01)))
         centres.append(own)
         owner += [number] * len(own)
     model.centroids = np.vstack(centres).astype(np.float32)
@@ -184,7 +204,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     A null text or one without a letter is `und`, score 0 and rejected; so is every text if nothing
     was learned. Others get the language of the nearest centroid, their cosine with it as score, and
-    are rejected if that is below the language's floor. Ties go to the language that sorts first.
+    are rejected if that is below the language's floor, which is lower for short texts. Ties go to the language that sorts first.
     The result columns replace columns of the same names; nothing but the text is looked at.
     """
     added = ["lang_pred", "score", "rejected"]
