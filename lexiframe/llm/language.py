@@ -127,12 +127,13 @@ def fit(
     lang_col: str = "lang",
     order: Column | None = None,
     most_rows: int = 2000,
-    most_languages: int = 64,
+    least_rows: int = 8,
     clusters: int = 4,
     margin: float = 0.65,
 ) -> Model:
-    """A model from at most `most_rows` labelled rows, the same number of each language, chosen by a
-    hash; the `most_languages` most frequent values are learned. Rows with a null text or language,
+    """A model of every labelled language from at most `most_rows` rows, the same number of each
+    language, chosen by a hash; or from `least_rows` of each if that is more. A language has one
+    centroid for each `least_rows` sampled rows, `clusters` at most. Rows with a null text or language,
     or without a letter, teach nothing. `margin` is the share down to which a text is accepted of the
     cosine that 99 of 100 of a language's sampled texts reach (relative to their length, see `reach`);
     it is smaller by 1/sqrt(n + 1) of itself where only n texts are sampled."""
@@ -143,16 +144,16 @@ def fit(
         (order if order is not None else F.xxhash64(text_col)).alias("_order"),
     )
     counts = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.orderBy(F.desc("_n"), "_lang").limit(most_languages).collect()
-    if not top:
+    known = counts.collect()
+    if not known:
         empty = np.empty(0)
         return Model([], np.ones(DIMENSIONS, np.float32), np.empty((0, DIMENSIONS)), empty, empty)
-    each = max(1, most_rows // len(top))
+    each = max(least_rows, most_rows // len(known))
     # Rows whose hash lies in the lowest share of its range; three spreads above the expected bound.
-    shares = {r["_lang"]: min(1.0, (each + 3 * each**0.5) / r["_n"]) for r in top}
-    limit = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("_lang")]
+    shares = [(r["_lang"], min(1.0, (each + 3 * each**0.5) / r["_n"])) for r in known]
+    limits = labelled.sparkSession.createDataFrame(shares, "_lang string, _limit double")
     place = F.xxhash64("_order").bitwiseAND((1 << 52) - 1) / float(1 << 52)
-    sample = rows.filter(place < limit)
+    sample = rows.join(F.broadcast(limits), "_lang").filter(place < F.col("_limit")).drop("_limit")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,7 +190,7 @@ def fit(
             rows_of[row, at] = n
         reached = reach(rows_of)
         rows_of = model.vectors(rows_of)
-        own = common(cluster(rows_of, clusters), rows_of)
+        own = common(cluster(rows_of, max(1, min(clusters, len(rows_of) // least_rows))), rows_of)
         cosines = np.minimum((rows_of @ own.T).max(axis=1) / reached, 1)
         floor.append(margin * (1 - (len(cosines) + 1) ** -0.5) * float(np.quantile(cosines, 0.01)))
         centres.append(own)

@@ -27,3 +27,21 @@ def test_short_foreign_texts_are_rejected(spark, docs):
         (3, "Dzisiaj jest piękna pogoda i dzieci bawią się w parku."),
     ]
     assert all(r["rejected"] for r in language.identify(docs(rows), model).collect())
+
+
+def test_every_labelled_language_is_learned(spark, docs):
+    import random
+
+    def text(language, seed):
+        rng = random.Random(f"{language} {seed}")
+        words = random.Random(language)
+        own = ["".join(words.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(12)]
+        return " ".join(rng.choice(own) for _ in range(20))
+
+    names = [f"l{i:02}" for i in range(80)]
+    teach = [(text(name, i), name) for n, name in enumerate(names) for i in range(9 + n % 3)]
+    model = language.fit(spark.createDataFrame(teach, "text string, lang string"))
+    assert model.languages == names
+    told = language.identify(docs([(i, text(name, "new")) for i, name in enumerate(names)]), model)
+    found = {r["doc_id"]: (r["lang_pred"], r["rejected"]) for r in told.collect()}
+    assert found == {i: (name, False) for i, name in enumerate(names)}
