@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,7 +133,7 @@ def fit(
 ) -> Model:
     """A model of every labelled language from at most `most_rows` rows, the same number of each
     language, chosen by a hash; or from `least_rows` of each if that is more. A language has one
-    centroid for each `least_rows` sampled rows, `clusters` at most. Rows with a null text or language,
+    centroid for each `least_rows` sampled rows, `clusters` at most. Equal texts of a language teach once. Rows with a null text or language,
     or without a letter, teach nothing. `margin` is the share down to which a text is accepted of the
     cosine that 99 of 100 of a language's sampled texts reach (relative to their length, see `reach`);
     it is smaller by 1/sqrt(n + 1) of itself where only n texts are sampled."""
@@ -141,24 +141,29 @@ def fit(
     rows = rows.select(
         F.col(text_col).alias("_text"),
         F.col(lang_col).alias("_lang"),
+        F.xxhash64(text_col).alias("_key"),
         (order if order is not None else F.xxhash64(text_col)).alias("_order"),
     )
-    counts = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    # Copies of a text count once, here and in the sample.
+    counts = rows.groupBy("_lang").agg(F.approx_count_distinct("_key", 0.02).alias("_n"))
     known = counts.collect()
     if not known:
         empty = np.empty(0)
         return Model([], np.ones(DIMENSIONS, np.float32), np.empty((0, DIMENSIONS)), empty, empty)
     each = max(least_rows, most_rows // len(known))
-    # Rows whose hash lies in the lowest share of its range; three spreads above the expected bound.
-    shares = [(r["_lang"], min(1.0, (each + 3 * each**0.5) / r["_n"])) for r in known]
+    # Rows whose hash lies in the lowest share of its range; three spreads above the expected bound,
+    # and a tenth for the counts, which are not exact.
+    shares = [(r["_lang"], min(1.0, 1.1 * (each + 3 * each**0.5) / max(r["_n"], 1))) for r in known]
     limits = labelled.sparkSession.createDataFrame(shares, "_lang string, _limit double")
     place = F.xxhash64("_order").bitwiseAND((1 << 52) - 1) / float(1 << 52)
-    sample = rows.join(F.broadcast(limits), "_lang").filter(place < F.col("_limit")).drop("_limit")
+    sample = rows.join(F.broadcast(limits), "_lang").filter(place < F.col("_limit"))
+    sample = sample.groupBy("_lang", "_key").agg(F.min("_order").alias("_order"), F.first("_text").alias("_text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, orders = batch.column("_lang").to_pylist(), batch.column("_order").to_pylist()
-            for text, lang, at in zip(batch.column("_text"), langs, orders):
+            names = ("_lang", "_order", "_key")
+            told = zip(*(batch.column(n).to_pylist() for n in names))
+            for text, row in zip(batch.column("_text"), told):
                 text = text.as_py()
                 if not _LETTER.search(text):
                     continue
@@ -166,17 +171,16 @@ def fit(
                 places = np.flatnonzero(found)
                 # The driver gathers bytes, not lists.
                 packed = places.astype(np.uint16).tobytes(), found[places].tobytes()
-                columns = [pa.array([x]) for x in (lang, at, *packed)]
-                yield pa.RecordBatch.from_arrays(columns, ["_lang", "_order", "at", "n"])
+                columns = [pa.array([x]) for x in (*row, *packed)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "at", "n"])
 
-    counted = sample.mapInArrow(count, "_lang string, _order long, at binary, n binary")
+    counted = sample.mapInArrow(count, "_lang string, _order long, _key long, at binary, n binary")
+    first = Window.partitionBy("_lang").orderBy("_order", "_key")
+    bounded = counted.withColumn("_place", F.row_number().over(first)).filter(F.col("_place") <= each)
     taken: dict[str, list] = {}
-    gathered = [tuple(row) for row in counted.collect()]
-    for lang, _, places, numbers in sorted(gathered):
+    for lang, places, numbers in sorted(map(tuple, bounded.select("_lang", "at", "n").collect())):
         own = taken.setdefault(lang, [])
-        if len(own) < each:
-            own.append((np.frombuffer(places, np.uint16), np.frombuffer(numbers, np.float32)))
-    del gathered
+        own.append((np.frombuffer(places, np.uint16), np.frombuffer(numbers, np.float32)))
     document_count = np.zeros(DIMENSIONS, np.float32)
     for own in taken.values():
         for at, _ in own:

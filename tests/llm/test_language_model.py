@@ -45,3 +45,15 @@ def test_every_labelled_language_is_learned(spark, docs):
     told = language.identify(docs([(i, text(name, "new")) for i, name in enumerate(names)]), model)
     found = {r["doc_id"]: (r["lang_pred"], r["rejected"]) for r in told.collect()}
     assert found == {i: (name, False) for i, name in enumerate(names)}
+
+
+def test_copies_of_a_text_teach_once(spark, monkeypatch):
+    hot = ("the same sentence, again and again", "en")
+    others = [(f"{a} and {b} went home", "en") for a in ("ann", "bob", "cat", "dan") for b in ("eve", "fay", "gil")]
+    frame = spark.createDataFrame([hot] * 3000 + others, "text string, lang string")
+    sizes = []
+    cluster = language.cluster
+    monkeypatch.setattr(language, "cluster", lambda rows, k: sizes.append(len(rows)) or cluster(rows, k))
+    language.fit(frame, most_rows=100)
+    language.fit(frame, most_rows=10)
+    assert sizes == [13, 10]
