@@ -20,8 +20,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal text, the one with the largest id stays."""
-    return exact_dedup.drop_copies(docs).select(*COLUMNS)
+    """Of documents with equal text, one row with the largest id stays."""
+    return exact_dedup.drop_copies(docs, one_each=True).select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

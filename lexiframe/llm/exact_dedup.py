@@ -68,7 +68,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns."""
-    kept = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_keep"))
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+def drop_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", one_each: bool = False
+) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns.
+
+    Without `one_each`, rows with the id of a kept row stay, whatever their texts. With it, one row
+    of each text stays: rows are told apart by id and text, and of equal ones any one stays.
+    """
+    if not one_each:
+        kept = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_keep"))
+        return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+    content = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
+    keys = [F.sha2(content, 256).alias("digest"), F.xxhash64(content).alias("other")]
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_id"), *keys)
+    first = rows.dropDuplicates(["_id", "digest", "other"])
+    kept = winners(docs, id_col, text_col)
+    same = first["_id"].eqNullSafe(kept["keep_id"]) & (first["digest"] == kept["digest"])
+    return first.join(kept, same & (first["other"] == kept["_other"]), "left_semi").select("_row.*")

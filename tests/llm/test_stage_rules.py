@@ -50,3 +50,14 @@ def test_near_copies_of_five_words_and_four_fifths(spark, docs):
     assert found == least_of_near(rows)
     assert not found & {1, 3, 7, 9}
     assert {5, 15} <= found
+
+
+def test_one_row_of_each_text_stays_where_ids_repeat(spark, docs):
+    rows = [(1, "one"), (2, "ONE"), (2, "two"), (3, "two"), (3, "two"), (None, "q"), (None, "q"), (None, "two"), (4, "q1")]
+    rows += [(5, None), (6, ""), (None, None)]
+    frame = docs(rows)
+    kept = corpus_pipeline.drop_exact_copies(spark, frame, "")
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert found == sorted([(2, "ONE"), (3, "two"), (None, "q"), (4, "q1"), (6, "")], key=str)
+    whole = corpus_pipeline.exact_dedup.drop_copies(frame, one_each=True)
+    assert whole.schema == frame.schema
