@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexiframe.llm.shared import attach, lower_ascii, shuffle_partitions, stored
@@ -80,9 +80,12 @@ def drop_copies(
         kept = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_keep"))
         return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
     content = lower_ascii(F.coalesce(F.col(text_col), F.lit("")))
-    keys = [F.sha2(content, 256).alias("digest"), F.xxhash64(content).alias("other")]
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_id"), *keys)
-    first = rows.dropDuplicates(["_id", "digest", "other"])
-    kept = winners(docs, id_col, text_col)
-    same = first["_id"].eqNullSafe(kept["keep_id"]) & (first["digest"] == kept["digest"])
-    return first.join(kept, same & (first["other"] == kept["_other"]), "left_semi").select("_row.*")
+
+    def key(id_: Column, digest: Column, other: Column) -> Column:
+        return F.concat_ws(":", digest, F.hex(other), F.coalesce(F.concat(F.lit("="), id_.cast("string")), F.lit("null")))
+
+    own = key(F.col(id_col), F.sha2(content, 256), F.xxhash64(content)).alias("_key")
+    # One column to group and to join by, so that texts are shuffled once for both.
+    first = docs.select(F.struct(*docs.columns).alias("_row"), own).dropDuplicates(["_key"])
+    kept = winners(docs, id_col, text_col).select(key(F.col("keep_id"), F.col("digest"), F.col("_other")).alias("_key"))
+    return first.join(stored(kept, "exact-kept"), "_key", "left_semi").select("_row.*")
