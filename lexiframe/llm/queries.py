@@ -12,8 +12,12 @@ from lexiframe.llm import (
     exact_dedup,
     jaccard_join,
     language,
+    lexical_search,
+    license_scan,
     line_dedup,
+    oracles,
     packing,
+    spelling,
     substring_dedup,
     token_files,
     toxicity,
@@ -100,6 +104,20 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived_pages(spark, path)
 
 
+def op11_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return license_scan.license_scan(docs)
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return lexical_search.rank_documents(docs, items, k=50)
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_language": op1_language,
     "op2_exact_dedup": op2_exact_dedup,
@@ -111,6 +129,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_warc": op10_warc,
+    "op11_license_scan": op11_license_scan,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -178,4 +199,7 @@ SELECT page_id, strlen(body) AS payload_bytes,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM p
 """,
+    "op11_license_scan": oracles.LICENSE_SCAN,
+    "op12_lexical_search": oracles.LEXICAL_SEARCH,
+    "op13_spelling_variants": oracles.SPELLING,
 }
