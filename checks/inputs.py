@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lexiframe.constants import CP1252_HIGH
 from lexiframe.operators.reconcile import PlanOptions
+from lexiframe.plans.storage import new_path
 from checks.ranks import bucketed_rank
 
 SERVICE, DATABASE, SCHEMA, PREFIX = "wh", "dw", "core", "csd_"
@@ -377,6 +378,64 @@ FROM {f} f JOIN {t} t ON f.table_id = t.table_id""",
             t=self.dict_tables,
         )
 
+    # Large files ----------------------------------------------------------------------------
+
+    def _written_files(self, lines: DataFrame, name: str) -> str:
+        """Lines `(file, a, b, value)` as text files, one a value of `file`, in the order of a and b."""
+        path = new_path(self.spark, name)
+        ordered = lines.repartition("file").sortWithinPartitions("file", "a", "b")
+        ordered.select("file", "value").write.partitionBy("file").text(path)
+        return path
+
+    def annotation_files(self) -> str:
+        """Folder of annotation documents, each with all fields of up to 50 tables of a module."""
+        lines = sql(
+            self.spark,
+            """
+WITH t AS (
+  SELECT *, CAST(substr(table_id, 2) AS BIGINT) AS a, concat(module_code, '-', CAST(floor(CAST(substr(table_id, 2) AS BIGINT) / 50) AS BIGINT)) AS file
+  FROM {t}
+), s AS (SELECT *, a = min(a) OVER (PARTITION BY file) AS first FROM t),
+f AS (SELECT *, id = min(id) OVER (PARTITION BY table_id) AS first FROM {f})
+SELECT DISTINCT file, CAST(-1 AS BIGINT) AS a, CAST(-1 AS BIGINT) AS b,
+  concat('{"modules":{"', module_code, '":{"code":"', module_code, '","tables":{') AS value FROM s
+UNION ALL
+SELECT file, a, CAST(-1 AS BIGINT), concat(CASE WHEN first THEN '' ELSE ',' END, '"', table_id, '":{"title":"', table_title,
+  '","indexes":[{"name":" K-0 ","primary":true,"unique":', CASE WHEN a % 2 = 0 THEN 'true' ELSE 'false' END,
+  ',"fields":[{"sequence":1,"name":"CONO"},{"sequence":2,"name":""},{"sequence":3,"name":"x"}]},["', table_id,
+  '_K-1.htm","help/k}"],[]],"fields":{') FROM s
+UNION ALL
+SELECT file, a, id, concat(CASE WHEN f.first THEN '' ELSE ',' END, substr(j, 2, length(j) - 2)) FROM (
+  SELECT table_id, id, first, to_json(map(field_name, struct(label, description, help, content, array(label, 'k-1') AS indexes))) AS j
+  FROM f) f JOIN s ON f.table_id = s.table_id
+UNION ALL SELECT file, a, CAST(4000000000000000000 AS BIGINT), '},"triggers":[]}' FROM s
+UNION ALL SELECT DISTINCT file, CAST(4000000000000000000 AS BIGINT), CAST(0 AS BIGINT), '}}}}' FROM s""",
+            f=self.dict_fields,
+            t=self.dict_tables,
+        )
+        return self._written_files(lines, "annotation-files")
+
+    def csv_files(self) -> str:
+        """Folder of CSV files of 80 columns, each with all fields of up to 50 tables."""
+        extra = [f"x{i}" for i in range(74)]
+        head = ",".join([*extra, "column_name", "table_code", "column_label", "table_label", "column_description", "table_description"])
+        lines = sql(
+            self.spark,
+            """
+WITH r AS (
+  SELECT CAST(floor(id / 50000000) AS BIGINT) AS file, f.id AS a, to_csv(struct(field_name, f.table_id, label,
+    CASE WHEN id %% 2 = 0 THEN table_title ELSE '' END, description,
+    CASE WHEN id %% 5 = 0 THEN concat('Description:  ', table_title) END), map('escape', '"')) AS line
+  FROM {f} f JOIN {t} t ON f.table_id = t.table_id
+)
+SELECT file, CAST(-1 AS BIGINT) AS a, CAST(0 AS BIGINT) AS b, '%s' AS value FROM (SELECT DISTINCT file FROM r) d
+UNION ALL SELECT file, a, CAST(0 AS BIGINT), concat('%s', line) FROM r"""
+            % (head, "," * len(extra)),
+            f=self.dict_fields,
+            t=self.dict_tables,
+        )
+        return self._written_files(lines, "csv-files")
+
 
 def _split_select(text: str) -> list[str]:
     """Top-level items of a select list."""

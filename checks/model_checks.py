@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import PREFIX, Inputs, sql
@@ -24,7 +27,7 @@ from checks.sql import (
 from lexiframe.functions import names, text
 from lexiframe.operators import keys, relational, source_model
 from lexiframe.plans.storage import stored
-from lexiframe.sources import documents
+from lexiframe.sources import csv_blocks, documents, json_blocks
 
 # Sources -----------------------------------------------------------------------------------
 
@@ -115,6 +118,65 @@ def source_from_csv(inputs: Inputs) -> DataFrame:
     )
 
 
+@contextmanager
+def small_blocks(spark: SparkSession, size: int = 1 << 20) -> Iterator[None]:
+    """Files are read in blocks of `size` bytes, so that those of the checks have several."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+_FILE_DOC = "'doc:modules.' || module_code || '.' || table_id"
+
+
+@check(
+    "source_from_json_files",
+    with_views(
+        _unified_sql(
+            _JSON_TABLES.replace(_DOC, _FILE_DOC).replace("bucket % 2", "substr(table_id, 2)::BIGINT % 2"),
+            _JSON_COLUMNS.replace(_DOC, _FILE_DOC),
+        )
+    ),
+)
+def source_from_json_files(inputs: Inputs) -> DataFrame:
+    """Annotation files that several tasks read, with a text that looks like the end of an object."""
+    with small_blocks(inputs.spark):
+        members = json_blocks.read_members(inputs.spark, inputs.annotation_files(), "*.txt")
+    members = members.withColumn("path", F.lit("doc"))
+    return unified(
+        source_model.annotation_tables(json_blocks.table_rows(members), PREFIX),
+        source_model.annotation_columns(json_blocks.field_rows(members), PREFIX),
+    )
+
+
+_CSV_FILE = "(floor(id / 50000000)::BIGINT)"
+_CSV_PLACES = f"(SELECT *, row_number() OVER (PARTITION BY {_CSV_FILE} ORDER BY id) + 1 AS line FROM dict_fields)"
+
+
+@check(
+    "source_from_csv_files",
+    with_views(
+        _unified_sql(
+            _CSV_TABLES.replace("'dict.csv:' || (min(id) + 1)", "min(source)")
+            .replace("SELECT f.id,", f"SELECT f.id, first_value({_CSV_FILE} || ':' || line) OVER (PARTITION BY t.table_id ORDER BY id) AS source,")
+            .replace("FROM dict_fields f", f"FROM {_CSV_PLACES} f"),
+            _CSV_COLUMNS.replace("'dict.csv:' || (id + 1)", f"{_CSV_FILE} || ':' || line").replace("FROM dict_fields", f"FROM {_CSV_PLACES} f"),
+        )
+    ),
+)
+def source_from_csv_files(inputs: Inputs) -> DataFrame:
+    """CSV files of 80 columns and texts over several lines that several tasks read."""
+    with small_blocks(inputs.spark):
+        records = csv_blocks.read_csv(inputs.spark, inputs.csv_files(), "*.txt")
+    records = records.withColumn("path", F.regexp_extract("path", "file=([^/]*)", 1))
+    return unified(
+        source_model.csv_tables(records, PREFIX), source_model.csv_columns(records, PREFIX)
+    )
+
+
 _INDEX_FIELDS = """(SELECT index_id, string_agg(field_name, ',' ORDER BY field_sequence) AS names FROM dict_index_fields GROUP BY index_id)"""
 
 

@@ -2,44 +2,35 @@
 
 A dictionary may be spread over any number of documents, for instance one per table; every
 document is parsed on its own, and the order of rows is `(path, module_pos, table_pos, field_pos)`.
+Files of any size are read by `json_blocks` and `csv_blocks`.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexiframe.constants import ACTIVE_LIST_MARKER
 from lexiframe.functions.names import normalize_table_code
 from lexiframe.functions.text import strip
 from lexiframe.schemas import CSV_COLUMNS, LINKS
 
-# The helper that reads CSV records travels with the job, so executors need no installed copy.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-_FIELD = (
+ANNOTATED_FIELD = (
     "struct<label: string, type: string, format: string, decimals: string, initial: string, "
     "extent: string, mandatory: string, val_exp: string, val_msg: string, help: string, "
     "trigger: string, indexes: string, description: string, content: string>"
 )
-_ANNOTATIONS = (
-    "struct<modules: map<string, struct<code: string, title: string, tables: map<string, "
-    "struct<title: string, indexes: array<string>, triggers: array<array<string>>, "
-    f"fields: map<string, {_FIELD}>>>>>>"
-)
-#: The same without fields, which are the larger part of a document.
-_ANNOTATED_TABLES = _ANNOTATIONS.replace(f", fields: map<string, {_FIELD}>", "")
-_DICTIONARY = (
-    "struct<modules: map<string, struct<code: string, title: string, tables: map<string, "
+#: A table without its fields, which are the larger part of a document.
+ANNOTATED_TABLE = "struct<title: string, indexes: array<string>, triggers: array<array<string>>>"
+DICTIONARY_TABLE = (
     "struct<filename: string, title: string, indexes: array<array<string>>, "
-    "fields: array<array<string>>, triggers: array<array<string>>, error: string>>>>>"
+    "fields: array<array<string>>, triggers: array<array<string>>, error: string>"
+)
+_MODULES = "struct<modules: map<string, struct<code: string, title: string, tables: map<string, {table}>>>>"
+_DICTIONARY = _MODULES.format(table=DICTIONARY_TABLE)
+_ANNOTATED_TABLES = _MODULES.format(table=ANNOTATED_TABLE)
+_ANNOTATIONS = _MODULES.format(
+    table=ANNOTATED_TABLE.removesuffix(">") + f", fields: map<string, {ANNOTATED_FIELD}>>"
 )
 _TABLE = (
     "struct<id: string, name: string, fullyQualifiedName: string, displayName: string, "
@@ -102,6 +93,11 @@ def _tables(documents: DataFrame, schema: str) -> DataFrame:
 
 def json_dictionary(documents: DataFrame) -> DataFrame:
     """Dictionary documents as rows of `dictionary_tables`."""
+    return dictionary_rows(_tables(documents, _DICTIONARY))
+
+
+def dictionary_rows(tables: DataFrame) -> DataFrame:
+    """Tables parsed as `DICTIONARY_TABLE` as rows of `dictionary_tables`."""
 
     def pairs(links: str) -> Column:
         return F.transform(
@@ -109,7 +105,7 @@ def json_dictionary(documents: DataFrame) -> DataFrame:
             lambda link: F.struct(link[0].alias("filename"), F.get(link, F.lit(1)).alias("path")),
         ).cast(LINKS)
 
-    return _tables(documents, _DICTIONARY).select(
+    return tables.select(
         "path",
         "module_pos",
         "module_code",
@@ -243,56 +239,6 @@ def catalog_columns(documents: DataFrame) -> DataFrame:
     )
 
 
-#: Columns that a CSV file may have; further ones are not read.
-MOST_CSV_COLUMNS = 64
-
-
-def _named_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of CSV files with their numbers, by the names in the first record of each file.
-
-    The rows of a file arrive together and in order, so the names hold until the path changes.
-    """
-    current, names, seen = None, [], 0
-    for batch in batches:
-        paths = batch.column("path").to_pylist()
-        starts = [i for i, path in enumerate(paths) if i == 0 or path != paths[i - 1]]
-        for start, end in zip(starts, [*starts[1:], len(paths)]):
-            part = batch.slice(start, end - start)
-            if paths[start] != current:
-                current, seen = paths[start], 0
-                first = part.slice(0, 1).to_pylist()[0]
-                names = [(first[f"c{i}"] or "").lstrip("\ufeff").strip() for i in range(MOST_CSV_COLUMNS)]
-                part = part.slice(1)
-            texts = [
-                part.column(f"c{names.index(n)}") if n in names else pa.nulls(part.num_rows, pa.string())
-                for n in CSV_COLUMNS
-            ]
-            numbers = pa.array(np.arange(seen + 1, seen + part.num_rows + 1, dtype=np.int64))
-            seen += part.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [part.column("path"), *texts, numbers], names=["path", *CSV_COLUMNS, "record_no"]
-            )
-
-
-def read_csv(spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
-    """Dictionary CSV files as `(path, six columns, record_no)`; absent columns are null.
-
-    Each file names its columns, in any order, in its first record.
-    Quoted line breaks keep a file in one task, so large dictionaries should be many files.
-    """
-    layout = ", ".join(f"c{i} string" for i in range(MOST_CSV_COLUMNS))
-    rows = (
-        spark.read.schema(layout)
-        .option("pathGlobFilter", glob)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
-        .select(F.col("_metadata.file_path").alias("path"), "*")
-    )
-    texts = ", ".join(f"{name} string" for name in CSV_COLUMNS)
-    return rows.mapInArrow(_named_records, f"path string, {texts}, record_no long")
-
-
 def parse_csv_lines(lines: DataFrame) -> DataFrame:
     """CSV records held as text in `line`, for records that arrive in a table."""
     schema = ", ".join(f"{name} string" for name in CSV_COLUMNS)

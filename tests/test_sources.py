@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lexiframe.operators import dictionary, source_model
 from lexiframe.plans.corpus import corpus_to_relational, key_report
 from lexiframe.plans.storage import stored, write_json
-from lexiframe.sources import documents
+from lexiframe.sources import csv_blocks, documents
 
 
 def texts(spark, *values):
@@ -90,7 +90,7 @@ def test_csv_files(spark, tmp_path):
         encoding="utf-8",
     )
     (tmp_path / "b.csv").write_text(head + "other,Other,,a,A,\n", encoding="utf-8")
-    records = documents.read_csv(spark, str(tmp_path))
+    records = csv_blocks.read_csv(spark, str(tmp_path))
     assert sorted(r.record_no for r in records.collect()) == [1, 1, 2, 3, 4]
     tables = {r.table_code: r for r in source_model.csv_tables(records).collect()}
     assert tables["parcel"].label == "PARCEL - Parcel" and tables["parcel"].description == "About"
@@ -106,7 +106,7 @@ def test_csv_files_name_their_own_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text("table_code,column_name,column_label\nt,a,A\n")
     (tmp_path / "b.csv").write_text("column_name,extra,table_code\nb,x,u\n")
     (tmp_path / "c.csv").write_text("table_code\n")
-    rows = documents.read_csv(spark, str(tmp_path)).select("table_code", "column_name", "column_label").collect()
+    rows = csv_blocks.read_csv(spark, str(tmp_path)).select("table_code", "column_name", "column_label").collect()
     assert sorted(map(tuple, rows)) == [("t", "a", "A"), ("u", "b", None)]
 
 
@@ -122,7 +122,7 @@ def test_long_csv_file_is_numbered_across_batches(spark, tmp_path):
     head = "table_code,column_name\n"
     for name, size in (("a.csv", 25_000), ("b.csv", 12_000)):
         (tmp_path / name).write_text(head + "".join(f"t,c{at}\n" for at in range(1, size + 1)))
-    records = documents.read_csv(spark, str(tmp_path))
+    records = csv_blocks.read_csv(spark, str(tmp_path))
     wrong = records.filter(F.concat(F.lit("c"), "record_no") != F.col("column_name"))
     assert records.count() == 37_000 and wrong.count() == 0
 
