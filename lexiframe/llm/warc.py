@@ -99,12 +99,12 @@ class _Bytes:
     def begin(self, place: int) -> None:
         """Go to the member, or the byte, at `place` of the file."""
         self.place, self.data = place, b""
-        self.inflate, self.next, self.finished = None, None, False
+        self.inflate, self.next, self.finished, self.told = None, None, False, False
         self.stream.seek(place)
         if self.gzip and place < self.size:
             head = self.stream.read(len(_GZIP) + 2 + _EXTRA_SIZE)
             if head[3:4] == b"\x04" and head[12:14] == b"sl":
-                self.next = place + struct.unpack_from(_EXTRA, head, 12)[2]
+                self.next, self.told = place + struct.unpack_from(_EXTRA, head, 12)[2], True
             self.inflate = zlib.decompressobj(31)
             self.stream.seek(place)
 
@@ -175,7 +175,8 @@ class _Bytes:
 def records(stream, size: int, wanted, payloads: bool) -> Iterator[tuple[dict[str, str], int, bytes | None]]:
     """(headers, length, payload) of records whose headers `wanted` accepts.
 
-    In a gzip file every record is a member of its own, as the format asks for.
+    A gzip member that tells its length holds one record, as written here and as the format asks
+    for, and is left by that length; any other member may hold several records and is read to its end.
     """
     if not size:
         return
@@ -186,15 +187,19 @@ def records(stream, size: int, wanted, payloads: bool) -> Iterator[tuple[dict[st
             if source.gzip and source.next_member():
                 continue
             return
+        if source.gzip and not block.strip(b"\r\n"):
+            continue  # the end of the record before
         headers = parse_headers(block.lstrip(b"\r\n"))
         length = int(headers.get("Content-Length", 0))
         accepted = wanted(headers)
         payload = source.take(length) if accepted and payloads else None
         if accepted:
             yield headers, length, payload
-        if source.gzip:
+        if source.told:
             if not source.next_member():
                 return
+        elif source.gzip:
+            source.skip(0 if payload is not None else length)
         else:
             source.skip((0 if payload is not None else length) + 4)
 

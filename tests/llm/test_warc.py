@@ -96,13 +96,18 @@ def test_unwanted_payloads_are_not_inflated():
     assert sum(calls) < 5_100_000
 
 
-@pytest.mark.parametrize("form", ["plain", "members", "own"])
+@pytest.mark.parametrize("form", ["plain", "members", "own", "stream", "triples"])
 def test_archives_of_other_writers(form):
     rng = random.Random(2)
     bodies = [rng.randbytes(rng.choice([0, 3, 70_000, 200_000])) for _ in range(12)]
     made = [warc.record({"WARC-Type": "r", "X": str(i)}, b) for i, b in enumerate(bodies)]
-    pack = {"plain": bytes, "members": gzip.compress, "own": warc.member}[form]
-    data = b"".join(map(pack, made))
+    pack = {"plain": bytes, "members": gzip.compress, "own": warc.member}.get(form)
+    if form == "stream":  # a whole archive as one gzip member
+        data = gzip.compress(b"".join(made))
+    elif form == "triples":
+        data = b"".join(gzip.compress(b"".join(made[i : i + 3])) for i in range(0, 12, 3))
+    else:
+        data = b"".join(map(pack, made))
     for wanted in (lambda h: True, lambda h: int(h["X"]) % 3 == 0):
         for payloads in (True, False):
             got = list(warc.records(io.BytesIO(data), len(data), wanted, payloads))
