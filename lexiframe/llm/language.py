@@ -29,12 +29,16 @@ UNDETERMINED = "und"
 #: N-grams of a text below which its cosine, and so what a language accepts, falls with their root.
 SHORT = 256
 
-_LETTER = re.compile(r"[^\W\d_]")
 # ASCII other than letters parts words; all bytes of other characters are kept.
 _LETTERS = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 _STEP = 1 << 20
 
 
+def has_letter(text: str) -> bool:
+    """Does the text hold a character of Unicode category L?"""
+    return any(map(str.isalpha, text))
+
+
 def features(text: str) -> np.ndarray:
     """Counts of the hashed n-grams of a whole text; long texts are counted piece by piece."""
     counts = np.zeros(DIMENSIONS, np.float32)
@@ -77,7 +81,7 @@ class Model:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
         """(language, cosine with its nearest centroid, rejected) of each text."""
         out: list[tuple[str, float, bool]] = [(UNDETERMINED, 0.0, True)] * len(texts)
-        known = [i for i, t in enumerate(texts) if t and _LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if t and has_letter(t)]
         if not known or not self.languages:
             return out
         for first in range(0, len(known), 64):
@@ -165,7 +169,7 @@ def fit(
             told = zip(*(batch.column(n).to_pylist() for n in names))
             for text, row in zip(batch.column("_text"), told):
                 text = text.as_py()
-                if not _LETTER.search(text):
+                if not has_letter(text):
                     continue
                 found = features(text)
                 places = np.flatnonzero(found)
