@@ -260,8 +260,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows.append([int(words.mix(own + np.uint64(i)).min() >> np.uint64(1)) for i in seeds])
                 else:
                     rows.append([-a - 1] * _SKETCHES)
-            columns = [part.column("_text"), part.column("_toxic"), pa.array(rows, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["_text", "_toxic", "h"])
+            columns = [*(part.column(c) for c in ("_id", "_text", "_toxic")), pa.array(rows, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_text", "_toxic", "h"])
 
 
 def fit(
@@ -273,7 +273,8 @@ def fit(
     most_rows: int = 8000,
 ) -> Model:
     """A model from at most `most_rows` labelled rows, chosen by a hash of the id; equal texts teach
-    once. Rows with a null id, text or label teach nothing; without labels the priors hold."""
+    once, and of near copies the one with the smallest (id, label, text), 0 before 1. Rows with a null
+    id, text or label teach nothing; without labels the priors hold."""
     taken = (
         labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
         .select(F.col(id_col).alias("_id"), (F.col(label_col) == 1).alias("_toxic"))
@@ -282,10 +283,13 @@ def fit(
     )
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     sample = rows.filter(F.col("_text").isNotNull()).join(F.broadcast(taken), "_id")
-    sample = sample.select("_text", "_toxic").mapInArrow(_sketch, "_text string, _toxic boolean, h array<long>")
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sample.select("_id", "_text", "_toxic").schema)
+    sample = sample.select("_id", "_text", "_toxic").mapInArrow(_sketch, f"{fields}, h array<long>")
     for i in range(_SKETCHES):
         # Near copies agree in most of these; their words must not count as often as they are copied.
-        sample = sample.withColumn("_h", F.col("h")[i]).dropDuplicates(["_h"])
+        # The row with the smallest (id, label, text) stays, so a repeated task chooses the same.
+        least = F.min(F.struct("_id", "_toxic", "_text", "h")).alias("r")
+        sample = sample.groupBy(F.col("h")[i]).agg(least).select("r.*")
     sample = shared.stored(sample.select("_text", "_toxic"), "toxic-sample")
     sizes = dict(map(tuple, sample.groupBy("_toxic").count().collect()))
     n_toxic, n_clean = sizes.get(True, 0), sizes.get(False, 0)

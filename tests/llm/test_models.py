@@ -36,6 +36,8 @@ def test_language_edges(spark, docs):
     assert found[6] == (None, "de", False)
     assert out.columns[-3:] == ["lang_pred", "score", "rejected"]
     assert language.identify(docs([]), model).collect() == []
+    signs = docs([(i, t) for i, t in enumerate(["½", "² 3", "Ⅷ", "٣", "_", "ª", "ʰ", "ß"])])
+    assert [r["lang_pred"] == "und" for r in language.identify(signs, model).collect()] == [True] * 5 + [False] * 3
     nothing = language.fit(spark.createDataFrame([], schema))
     assert [r["lang_pred"] for r in language.identify(docs(rows[3:4]), nothing).collect()] == ["und"]
 
@@ -102,6 +104,15 @@ def test_toxicity_edges(spark, docs):
     assert toxicity.toxicity(docs([]), none).collect() == []
 
 
+def test_the_smallest_of_near_copies_teaches(spark, docs):
+    near = [(i, "you are a moron and a fool " * 20 + ("" if i != 4 else "x")) for i in range(2, 40)]
+    rows = near + [(100 + i, f"a calm text number {i} about the weather of day {i * 7}") for i in range(30)]
+    labels = [(i, int(i == 2)) for i, _ in near] + [(100 + i, 0) for i in range(30)] + [(2, 0)]
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    models = [toxicity.fit(docs(rows).repartition(n), table.repartition(n)) for n in (1, 3, 7)]
+    assert models[0] == models[1] == models[2]
+
+
 def brute_hits(rows, items, window=10):
     fold = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
     windows = []
