@@ -16,8 +16,9 @@ from lexiframe.constants import (
 from lexiframe.functions.richtext import description_matches
 from lexiframe.operators import patch, reconcile, scope
 from lexiframe.operators.reconcile import Plan, PlanOptions
+from lexiframe.plans import catalog_store
 from lexiframe.plans.loader import plan_from_options
-from lexiframe.plans.storage import stored
+from lexiframe.plans.storage import new_path, stored
 from lexiframe.operators.source_model import relational_columns, relational_tables
 
 
@@ -280,6 +281,19 @@ def tables_without_dictionary(inputs: Inputs) -> DataFrame:
     return reconcile.tables_without_dictionary(covered, matched)
 
 
+@check(
+    "tables_without_dictionary_whole",
+    with_views("""SELECT table_fqn FROM cat_tables t WHERE data_product_id = 'dp-id' AND NOT EXISTS (
+      SELECT 1 FROM dict_tables d WHERE 'wh.dw.core.csd_' || d.table_id = t.table_fqn AND substr(d.table_id, 2)::BIGINT % 5 <> 4)"""),
+)
+def tables_without_dictionary_whole(inputs: Inputs) -> DataFrame:
+    """Against the whole dictionary, which lacks every fifth table."""
+    known = source_tables(inputs).filter(F.substring("table_code", 2, 20).cast("bigint") % 5 != 4)
+    covered = product_scope(inputs)
+    matched = reconcile.plan_tables(known, covered, inputs.cat_tables, OPTIONS)
+    return reconcile.tables_without_dictionary(covered, matched)
+
+
 @check("display_action", over_plan("SELECT table_fqn, column_name, display_name_action, split_part(reason, '; ', 1) AS reason FROM plan"))
 def display_action(inputs: Inputs) -> DataFrame:
     return build_plan(inputs).rows.select(
@@ -442,25 +456,29 @@ def apply_patches(inputs: Inputs) -> DataFrame:
     return _snapshot(*patch.apply_patches(writes, inputs.cat_tables, inputs.cat_columns))
 
 
-def _checked(inputs: Inputs) -> DataFrame:
-    """Verification against a state in which some values went wrong after the patch.
-
-    Columns at place 2 of every eleventh table lose their display name, and at place 3 of every
-    seventh their description; column 1 of every thirteenth table is gone. Other descriptions
-    come back as rich text.
-    """
-    writes = stored_writes(inputs)
-    tables, columns = patch.apply_patches(writes, inputs.cat_tables, inputs.cat_columns)
+def _broken(columns: DataFrame) -> DataFrame:
     number = F.regexp_extract("table_fqn", "([0-9]+)$", 1).cast("bigint")
     rich = F.concat(F.lit("<p>"), F.replace("description", F.lit("\n"), F.lit("<br/>")), F.lit(" &nbsp;</p>"))
     at = F.col("ordinal")
     late = number >= 20  # some tables come before the first failure
-    broken = columns.filter(~(late & (number % 13 == 0) & (at == 1))).withColumns(
+    return columns.filter(~(late & (number % 13 == 0) & (at == 1))).withColumns(
         {
             "display_name": F.when(late & (number % 11 == 0) & (at == 2), "wrong").otherwise(F.col("display_name")),
             "description": F.when((number % 7 == 0) & (at == 3), "wrong").otherwise(rich),
         }
     )
+
+
+def _checked(inputs: Inputs) -> DataFrame:
+    """Verification against a state in which some values went wrong after the patch.
+
+    Columns at place 2 of every eleventh table lose their display name, and at place 3 of every
+    seventh their description; column 1 of every thirteenth table is gone. Other descriptions
+    come back as rich text.
+    """
+    writes = stored_writes(inputs)
+    tables, columns = patch.apply_patches(writes, inputs.cat_tables, inputs.cat_columns)
+    broken = _broken(columns)
     return stored(patch.verify_patches(writes, tables, broken), "checks")
 
 
@@ -513,6 +531,45 @@ def apply_state_stopped(inputs: Inputs) -> DataFrame:
     return _snapshot(*patch.apply_patches(writes, inputs.cat_tables, inputs.cat_columns))
 
 
+def _catalog(inputs: Inputs) -> catalog_store.CatalogStore:
+    path = new_path(inputs.spark, "catalog")
+    return catalog_store.create(inputs.spark, path, inputs.cat_tables, inputs.cat_columns, 20_000)
+
+
+@check("apply_versions", over_plan(_APPLIED))
+def apply_versions(inputs: Inputs) -> DataFrame:
+    """The patched catalogue as the next version of a store; tables and columns come in two applies."""
+    store, writes = _catalog(inputs), stored_writes(inputs)
+    for part in (writes.filter("is_column"), writes.filter("NOT is_column")):
+        store = catalog_store.apply_to_store(store, part).store
+    again = catalog_store.open_store(inputs.spark, store.path, store.version)
+    return _snapshot(again.tables, again.columns)
+
+
+@check("verify_versions", over_plan(f"SELECT table_fqn, column_name, entity_type, error FROM ({_CHECKED}) c"))
+def verify_versions(inputs: Inputs) -> DataFrame:
+    """Verification that reads the rewritten buckets only, some values of which went wrong."""
+    store, writes = _catalog(inputs), stored_writes(inputs)
+    patched = catalog_store.patch_buckets(store, writes)
+    seen = patched.tables, _broken(patched.columns)
+    found = catalog_store.apply_to_store(store, writes, True, seen, patched)
+    return found.checks.select("table_fqn", "column_name", "entity_type", "error")
+
+
+@check(
+    "stopped_versions",
+    over_plan(_APPLIED.replace("FROM writes", f"FROM {_ATTEMPTED} a"), results=_RESULTS),
+)
+def stopped_versions(inputs: Inputs) -> DataFrame:
+    """A version whose manifest ends at the first table that fails."""
+    store, writes = _catalog(inputs), stored_writes(inputs)
+    patched = catalog_store.patch_buckets(store, writes)
+    seen = patched.tables, _broken(patched.columns)
+    stopped = catalog_store.apply_to_store(store, writes, False, seen, patched).store
+    again = catalog_store.open_store(inputs.spark, stopped.path, stopped.version)
+    return _snapshot(again.tables, again.columns)
+
+
 @check(
     "plan_from_options",
     over_plan(f"""SELECT table_fqn, column_name, display_name_action, description_action, reason FROM plan

@@ -116,6 +116,12 @@ def sink_key_report(inputs: Inputs) -> DataFrame:
     return _json_round_trip(inputs, report, "key-report-json")
 
 
+@check("sink_key_report_full_json", ORACLES["key_report_full"])
+def sink_key_report_full(inputs: Inputs) -> DataFrame:
+    report = keys.key_report_full(*model_checks.report_inputs(inputs))
+    return _json_round_trip(inputs, report, "key-report-full-json")
+
+
 @check(
     "sink_plan_json",
     over_plan("""SELECT table_fqn, column_name, proposed_display_name, proposed_description, display_name_action,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.operators import patch
+from lexiframe.constants import DEFAULT_PREFIX
+from lexiframe.operators import patch, source_model
 from lexiframe.operators.reconcile import Plan, PlanOptions, reconcile_plan, will_write
 from lexiframe.operators.scope import (
     product_assets,
@@ -17,7 +19,8 @@ from lexiframe.operators.scope import (
     scope_include,
     scope_tables,
 )
-from lexiframe.plans.storage import stored
+from lexiframe.plans.storage import read_relational, stored
+from lexiframe.sources import csv_blocks, json_blocks
 from lexiframe.sources.documents import active_tables
 
 
@@ -35,6 +38,35 @@ class Applied:
     results: DataFrame
 
 
+def read_source(
+    spark: SparkSession, path: str, kind: str | None = None, prefix: str = DEFAULT_PREFIX
+) -> tuple[DataFrame, DataFrame]:
+    """`(src_tables, src_columns)` of dictionary files of any kind.
+
+    `kind` is `json` (annotations), `csv` or `relational` (a folder of the relational model); without
+    it the ending of `path` tells, and a path without one is a relational model. A folder of JSON
+    or CSV files needs its kind.
+    """
+    kind = kind or os.path.splitext(path.rstrip("/"))[1].lower().removeprefix(".") or "relational"
+    if kind == "json":
+        members = json_blocks.read_members(spark, path)
+        return (
+            source_model.annotation_tables(json_blocks.table_rows(members), prefix),
+            source_model.annotation_columns(json_blocks.field_rows(members), prefix),
+        )
+    if kind == "csv":
+        records = csv_blocks.read_csv(spark, path)
+        return source_model.csv_tables(records, prefix), source_model.csv_columns(records, prefix)
+    if kind == "relational":
+        names = ["tables", "fields", "table_indexes", "table_index_fields"]
+        model = read_relational(spark, path, names)
+        tables = source_model.relational_tables(
+            model["tables"], model["table_indexes"], model["table_index_fields"], prefix, path
+        )
+        return tables, source_model.relational_columns(model["fields"], model["tables"], prefix, path)
+    raise ValueError(f"no dictionary of kind {kind!r}: {path}")
+
+
 def stored_plan(
     src_tables: DataFrame,
     src_columns: DataFrame,

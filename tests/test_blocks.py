@@ -10,6 +10,7 @@ from itertools import zip_longest
 
 import pytest
 
+from lexiframe.plans import loader
 from lexiframe.schemas import CSV_COLUMNS
 from lexiframe.sources import csv_blocks, documents, json_blocks
 
@@ -259,3 +260,21 @@ def test_no_files_of_the_wanted_name_give_no_rows(spark, tmp_path):
     (tmp_path / "x.txt").write_text("{}")
     assert json_blocks.field_rows(json_blocks.read_members(spark, str(tmp_path))).collect() == []
     assert csv_blocks.read_csv(spark, str(tmp_path)).collect() == []
+
+
+def test_the_kind_of_a_source_follows_its_path(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"modules":{"M":{"code":"M","tables":{"t":{"title":"T - Title","fields":{"f":{"label":"L"}}}}}}}')
+    (tmp_path / "b.CSV").write_text("table_code,column_name,column_label\nt,f,L\n")
+    spark.createDataFrame([("t", "T - Title")], "table_id string, table_title string").write.parquet(str(tmp_path / "model/tables"))
+    spark.createDataFrame([("1", "t", "f", "L")], "id string, table_id string, field_name string, label string").write.parquet(str(tmp_path / "model/fields"))
+    for name, fields in (("table_indexes", "id string, table_id string, index_name string, is_primary int, is_unique int, is_word int"), ("table_index_fields", "index_id string, field_sequence int, field_name string")):
+        spark.createDataFrame([], fields).write.parquet(str(tmp_path / "model" / name))
+    for path, glob in (("a.json", {}), ("b.CSV", {}), ("model", {}), ("", {"kind": "json"})):
+        if path == "b.CSV":
+            (tmp_path / path).rename(tmp_path / "b.csv")
+            path = "b.csv"
+        tables, columns = loader.read_source(spark, str(tmp_path / path), **glob)
+        assert [r.table_code for r in tables.collect()] == ["t"]
+        assert [(r.table_code, r.column_name, r.label) for r in columns.collect()] == [("t", "f", "L")]
+    with pytest.raises(ValueError):
+        loader.read_source(spark, "x.xlsx")
