@@ -29,10 +29,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Tokens are hashes of this many bits. They are only ever compared within pairs of documents and,
 #: to find tokens held once, within the corpus, where a collision costs a comparison and no link.
-TOKEN_BITS = 48
+#: Two of n shingles of a pair are taken for one with a chance below n^2 / 2^61.
+TOKEN_BITS = 60
 #: Once counted, a token also carries the logarithm of its document frequency, up to this class.
 TOP_CLASS = 8
-_WIDTH = 7  # bytes of a token with its class
+_WIDTH = 8  # bytes of a token with its class
 #: Tokens that a task gathers before it sends them.
 FLUSH_TOKENS = 1 << 19
 #: Tokens of one verification task; larger groups are dealt with block by block.
@@ -40,8 +41,12 @@ BLOCK_TOKENS = 2 << 20
 #: Tokens of candidates that are compared in one step.
 STEP_TOKENS = 1 << 18
 ORDERS = 3
+#: A row's number is (task, chunk, place): these are the bits of a place, and of a chunk of a task.
+PLACE_BITS, CHUNK_BITS = 23, 20
+#: Chunks of one flush at most, so that a reference to a row fits into 32 bits.
+FLUSH_CHUNKS = 256
 
-_TOKENS = "bucket int, tokens binary, refs binary, n long, rids array<long>, ids array<long>, sizes array<int>, d1 array<long>, d2 array<long>"
+_TOKENS = "bucket long, tokens binary, refs binary, n long, rids array<long>, ids array<long>, sizes array<int>, d1 array<long>, d2 array<long>"
 
 
 def token_sets(data: np.ndarray, offsets: np.ndarray, shingle: int):
@@ -81,7 +86,7 @@ def _unpack(data: bytes, n: int, kind) -> np.ndarray:
 
 
 _SCHEMA = pa.schema(
-    [("bucket", pa.int32()), ("tokens", pa.binary()), ("refs", pa.binary()), ("n", pa.int64())]
+    [("bucket", pa.int64()), ("tokens", pa.binary()), ("refs", pa.binary()), ("n", pa.int64())]
     + [("rids", pa.list_(pa.int64())), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))]
     + [("d1", pa.list_(pa.int64())), ("d2", pa.list_(pa.int64()))]
 )
@@ -93,13 +98,16 @@ class _Sender:
     document goes to the token's bucket."""
 
     def __init__(self, shingle: int, buckets: int):
-        self.shingle, self.buckets, self.rows = shingle, buckets, 0
-        self.base = TaskContext.get().partitionId() << 40
+        self.shingle, self.buckets, self.chunk = shingle, buckets, 0
+        self.base = TaskContext.get().partitionId() << (PLACE_BITS + CHUNK_BITS)
         self.clear()
 
     def clear(self) -> None:
         self.held, self.tokens, self.owners = 0, [], []
-        self.first = self.rows
+        self.first = self.chunk
+
+    def full(self) -> bool:
+        return self.held > FLUSH_TOKENS or self.chunk - self.first >= FLUSH_CHUNKS
 
     def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = shared.text_bytes(batch.column("_text"))
@@ -111,9 +119,9 @@ class _Sender:
             total = np.zeros(len(token) + 1, np.uint64)
             np.cumsum(words.mix(token + np.uint64(seed << 50)), out=total[1:])
             digests.append((total[edges[1:]] - total[edges[:-1]]).view(np.int64))
-        rids = self.base + self.rows + np.arange(batch.num_rows)
+        rids = self.base + (self.chunk << PLACE_BITS) + np.arange(batch.num_rows)
         row = {
-            "bucket": int(self.rows % self.buckets),
+            "bucket": int(self.chunk % self.buckets),
             "rids": rids.tolist(),
             "ids": batch.column("_id").to_pylist(),
             "sizes": sizes.tolist(),
@@ -122,8 +130,8 @@ class _Sender:
         }
         yield pa.RecordBatch.from_pylist([row], _SCHEMA)
         self.tokens.append(token)
-        self.owners.append((self.rows - self.first + owner).astype(np.uint32))
-        self.rows += batch.num_rows
+        self.owners.append((((self.chunk - self.first) << PLACE_BITS) + owner).astype(np.uint32))
+        self.chunk += 1
         self.held += len(token)
 
     def flush(self) -> Iterator[pa.RecordBatch]:
@@ -163,47 +171,39 @@ class _Sender:
             "tokens": _pack(np.diff(own, prepend=np.uint64(0))),
             "refs": _pack(refs.astype(np.uint32)),
             "n": -len(own) if known else len(own),
-            "rids": [int(self.base + self.first) - 1],
+            "rids": [int(self.base + (self.first << PLACE_BITS)) - 1],
         }
         yield pa.RecordBatch.from_pylist([row], _SCHEMA)
 
 
-def _by_document(rid: np.ndarray, token: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(_rid, tokens) rows of a bucket's repeated tokens."""
-    if not len(rid):
-        return
-    order = np.argsort(rid, kind="stable")
-    rid, token = rid[order], token[order]
-    edges = np.flatnonzero(np.concatenate(([True], rid[1:] != rid[:-1])))
-    width = token.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_WIDTH]
-    offsets = np.append(edges, len(rid)) * _WIDTH
-    values = pa.Array.from_buffers(
-        pa.large_binary(),
-        len(edges),
-        [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(width))],
-    ).cast(pa.binary())
-    none = pa.nulls(len(edges), pa.int64())
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(rid[edges]), none, none.cast(pa.int32()), none, none, values],
-        ["_rid", "_id", "n", "d1", "d2", "tokens"],
-    )
+def _by_chunk(rid: np.ndarray, token: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A bucket's repeated tokens, one packed row for each chunk of rows that holds some."""
+    chunk = rid >> PLACE_BITS
+    order = np.lexsort((token, chunk))
+    rid, token, chunk = rid[order], token[order], chunk[order]
+    edges = np.flatnonzero(np.concatenate((np.ones(len(rid[:1]), bool), chunk[1:] != chunk[:-1])))
+    for low, high in zip(edges, [*edges[1:], len(rid)]):
+        row = {
+            "bucket": int(chunk[low]),
+            "tokens": _pack(np.diff(token[low:high], prepend=np.uint64(0))),
+            "refs": _pack((rid[low:high] & ((1 << PLACE_BITS) - 1)).astype(np.uint32)),
+            "n": int(high - low),
+        }
+        yield pa.RecordBatch.from_pylist([row], _SCHEMA)
 
 
 def _repeated(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     tokens, rids = [], []
     for row in rows:
         if row["tokens"] is None:
-            columns = [row["rids"], row["ids"], row["sizes"], row["d1"], row["d2"]]
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-            arrays = [*map(pa.array, columns, types), pa.nulls(len(row["rids"]), pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["_rid", "_id", "n", "d1", "d2", "tokens"])
+            yield pa.RecordBatch.from_pylist([row | {"bucket": row["rids"][0] >> PLACE_BITS}], _SCHEMA)
             continue
         n = abs(row["n"])
         own = np.cumsum(_unpack(row["tokens"], n, np.uint64), dtype=np.uint64)
         refs = _unpack(row["refs"], n, np.uint32).astype(np.int64)
         rid = np.where(refs > 0, refs + row["rids"][0], -1)
         if row["n"] < 0:
-            yield from _by_document(rid, own | np.uint64(TOP_CLASS << TOKEN_BITS))
+            yield from _by_chunk(rid, own | np.uint64(TOP_CLASS << TOKEN_BITS))
         else:
             tokens.append(own)
             rids.append(rid)
@@ -219,7 +219,50 @@ def _repeated(rows: list[dict]) -> Iterator[pa.RecordBatch]:
     classes = np.minimum(np.log2(held).astype(np.uint64), np.uint64(TOP_CLASS))
     told = np.repeat(held > 1, sizes) & (rid >= 0)
     token = token | np.repeat(classes << np.uint64(TOKEN_BITS), sizes)
-    yield from _by_document(rid[told], token[told])
+    yield from _by_chunk(rid[told], token[told])
+
+
+def _gathered(rows: list[dict], percent: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a chunk, with their repeated tokens where these can reach the threshold."""
+    (head,) = [row for row in rows if row["tokens"] is None]
+    own = [row for row in rows if row["tokens"] is not None]
+    tokens = [np.cumsum(_unpack(row["tokens"], row["n"], np.uint64), dtype=np.uint64) for row in own]
+    places = [_unpack(row["refs"], row["n"], np.uint32).astype(np.int64) for row in own]
+    token = np.concatenate([np.empty(0, np.uint64), *tokens])
+    place = np.concatenate([np.empty(0, np.int64), *places])
+    n = np.array(head["sizes"], np.int64)
+    counts = np.bincount(place, minlength=len(n))
+    enough = (n > 0) & (counts * 100 >= n * percent)
+    kept = enough[place]
+    order = np.argsort(place[kept], kind="stable")
+    width = token[kept][order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_WIDTH]
+    offsets = np.concatenate(([0], np.cumsum(np.where(enough, counts, 0)))) * _WIDTH
+    valid = np.packbits(enough, bitorder="little")
+    values = pa.Array.from_buffers(
+        pa.large_binary(),
+        len(n),
+        [pa.py_buffer(valid), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(width))],
+    ).cast(pa.binary())
+    columns = [head[c] for c in ("rids", "ids", "sizes", "d1", "d2")]
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
+    whole = pa.RecordBatch.from_arrays([*map(pa.array, columns, types), values], ["_rid", "_id", "n", "d1", "d2", "tokens"])
+    for first in range(0, len(n), 500):
+        yield whole.slice(first, 500)
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Rows of one bucket, or of one chunk, which lie together."""
+    current, rows = None, []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if row["bucket"] != current and rows:
+                yield rows
+                rows = []
+            current = row["bucket"]
+            rows.append(row)
+    if rows:
+        yield rows
 
 
 def _tokens(data: bytes) -> np.ndarray:
@@ -238,46 +281,23 @@ def repeated_tokens(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         for batch in batches:
             for part in shared.slices(batch, "_text", shared.BLOCK_BYTES // 2):
                 yield from sender.add(part)
-                if sender.held > FLUSH_TOKENS:
+                if sender.full():
                     yield from sender.flush()
         yield from sender.flush()
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, rows = None, []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if row["bucket"] != current and rows:
-                    yield from _repeated(rows)
-                    rows = []
-                current = row["bucket"]
-                rows.append(row)
-        if rows:
+        for rows in _by_key(batches):
             yield from _repeated(rows)
 
-    found = (
-        docs.mapInArrow(send, _TOKENS)
-        .repartition(parts, "bucket")
-        .sortWithinPartitions("bucket")
-        .mapInArrow(find, "_rid long, _id long, n int, d1 long, d2 long, tokens binary")
-    )
-    firsts = [F.max(c).alias(c) for c in ("_id", "n", "d1", "d2")]
-    gathered = found.groupBy("_rid").agg(*firsts, F.collect_list("tokens").alias("_parts"))
-    size = F.aggregate("_parts", F.lit(0), lambda a, x: a + F.octet_length(x)) / _WIDTH
-    enough = (F.col("n") > 0) & (size * 100 >= F.col("n") * percent)
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for first in range(0, whole.num_rows, 500):
-                batch = whole.slice(first, 500)
-                own = [b"".join(p) if p else None for p in batch.column("_parts").to_pylist()]
-                columns = [batch.column(c) for c in ("_rid", "_id", "n", "d1", "d2")]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(own, pa.binary())], ["_rid", "_id", "n", "d1", "d2", "tokens"]
-                )
+        for rows in _by_key(batches):
+            yield from _gathered(rows, percent)
 
-    kept = gathered.withColumn("_parts", F.when(enough, F.col("_parts")))
-    return kept.mapInArrow(gather, "_rid long, _id long, n int, d1 long, d2 long, tokens binary")
+    def together(frame: DataFrame) -> DataFrame:
+        return frame.repartition(parts, "bucket").sortWithinPartitions("bucket")
+
+    found = together(docs.mapInArrow(send, _TOKENS)).mapInArrow(find, _TOKENS)
+    return together(found).mapInArrow(gather, "_rid long, _id long, n int, d1 long, d2 long, tokens binary")
 
 
 def _needed(n, percent: int):
@@ -571,10 +591,23 @@ def drop_near_copies(
     percent: int = 80,
     **options,
 ) -> DataFrame:
-    """The rows of `docs` whose id is the smallest of their component, with all columns.
-
-    The defaults are the rule for stages of a pipeline: five words, similarity 0.8."""
-    found = jaccard_components(docs, id_col, text_col, shingle=shingle, percent=percent, **options)
-    same = F.col(id_col).eqNullSafe(F.col("component_id"))
-    kept = found.filter(same).select(F.col(id_col).alias("_keep"))
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_keep"]), "left_semi")
+    """One row of every component of `docs`, with all columns: the one with the smallest id, null
+    ids last; of rows that repeat that id any one, but one only.
+
+    The defaults are the rule for stages of a pipeline: five words, similarity 0.8. Rows are told
+    apart by a number of their own, so repeated and null ids do not stand for one another. Null, empty and
+    blank texts are linked with nothing and stay, as do columns of any name. An empty table gives
+    none."""
+    row = "_row"
+    while row in {c.lower() for c in docs.columns}:
+        row = f"_{row}"
+    numbered = shared.stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = jaccard_components(
+        numbered.select(row, F.col(f"`{text_col}`")), row, text_col, shingle=shingle, percent=percent, **options
+    )
+    ids = numbered.select(F.col(row).alias("_n"), F.col(f"`{id_col}`").alias("_i"))
+    members = found.select(F.col(row).alias("_n"), F.col("component_id").alias("_c")).join(ids, "_n")
+    first = F.struct(F.col("_i").isNull(), "_i", "_n")
+    # A component of copies may hold a third of all rows; the minimum is found before the shuffle.
+    kept = members.groupBy("_c").agg(F.min(first)["_n"].alias(row)).select(row)
+    return numbered.join(kept, row, "left_semi").select([F.col(f"`{c}`") for c in docs.columns])

@@ -61,3 +61,20 @@ def test_one_row_of_each_text_stays_where_ids_repeat(spark, docs):
     assert found == sorted([(2, "ONE"), (3, "two"), (None, "q"), (4, "q1"), (6, "")], key=str)
     whole = corpus_pipeline.exact_dedup.drop_copies(frame, one_each=True)
     assert whole.schema == frame.schema
+
+
+def test_near_copies_where_ids_repeat_or_are_null(spark, docs):
+    base = [f"w{i}" for i in range(200)]
+    near = " ".join(base[:199] + ["end"])
+    text = " ".join(base)
+    rows = [(None, text), (2, text), (1, near), (1, near), (None, "other text of its own here"), (None, None), (7, ""), (7, "")]
+    rows += [(5, "other text of its own here"), (1, "words that nobody else has at all")]
+    frame = docs(rows)
+    kept = corpus_pipeline.jaccard_join.drop_near_copies(frame)
+    assert kept.schema == frame.schema
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    want = [(1, near), (5, "other text of its own here"), (None, None), (7, ""), (7, ""), (1, "words that nobody else has at all")]
+    assert found == sorted(want, key=str)
+    only_null = docs([(None, text), (None, near)]).withColumnRenamed("_id", "_row")
+    assert corpus_pipeline.jaccard_join.drop_near_copies(only_null).count() == 1
+    assert corpus_pipeline.drop_near_copies(spark, docs([]), "").collect() == []

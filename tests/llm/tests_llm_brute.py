@@ -9,11 +9,11 @@ def fold(text):
     return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
 
 
-def near_least(rows):
+def near_least(rows, size=5, percent=80):
     sets = {}
     for doc, text in rows.items():
         words = re.findall(r"[^\x20\x09-\x0D]+", fold(text))
-        sets[doc] = {tuple(words[i : i + 4]) for i in range(max(len(words) - 3, 1))} if words else set()
+        sets[doc] = {tuple(words[i : i + size]) for i in range(max(len(words) - size + 1, 1))} if words else set()
     root = {d: d for d in sets}
 
     def find(x):
