@@ -1,7 +1,8 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
 The automaton is built once from the normalised items, whose number is bounded by the benchmark and
-not by the corpus, and travels with the job. Documents stream through it; no document is shuffled.
+not by the corpus, and travels with the job. Documents stream through it; no document is shuffled
+unless the benchmark needs several automata, whose hits are then joined to their documents.
 """
 
 from __future__ import annotations
@@ -9,20 +10,23 @@ from __future__ import annotations
 import hashlib
 import sys
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexiframe.llm import shared
+from lexiframe.llm.lexical_search import item_blocks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Bytes of text for the items that the driver may gather; a larger benchmark is refused.
-MOST_BENCHMARK_BYTES = 256 << 20
+#: Bytes of items in one automaton, which takes about a hundred times as much memory. Larger benchmarks are cut
+#: into several automata, through which the documents stream one after another.
+BLOCK_BYTES = 2 << 20
 
 # A-Z become a-z, other ASCII but digits and a-z separates words, all other bytes are letters.
 _FOLD = bytes(
@@ -165,18 +169,31 @@ class Automaton:
         return found, items
 
 
-def build(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> Automaton:
-    total = benchmark.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    if total > MOST_BENCHMARK_BYTES:
-        raise ValueError(f"{total} bytes of items; the automaton holds {MOST_BENCHMARK_BYTES}")
-    rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col)).collect()
-    ordered = sorted(rows, key=lambda row: (row[0] or "", row[1] or ""))
-    return Automaton([(name, words_of(text)) for name, text in ordered if name is not None], window)
+def automata(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> Iterator[Automaton]:
+    """One automaton for every block of items; at least one."""
+    own = benchmark.select(F.col(item_col).cast("string").alias("_name"), F.col(text_col).alias("_text"))
+    own = own.filter("_name IS NOT NULL")
+    total = own.agg(F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()[0]
+    blocks = [own]
+    if total > BLOCK_BYTES:
+        numbered = shared.stored(own.withColumn("_item", F.monotonically_increasing_id()), "benchmark-items")
+        blocks = item_blocks(numbered, BLOCK_BYTES)
+    for block in blocks:
+        rows = block.select("_name", "_text").collect()
+        ordered = sorted(rows, key=lambda row: (row[0], row[1] or ""))
+        yield Automaton([(name, words_of(text)) for name, text in ordered], window)
 
 
 ADDED = ["n_words", "n_hit", "items", "spans"]
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+_SPAN_TYPE = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_RESULT = [
+    T.StructField("n_words", T.LongType()),
+    T.StructField("n_hit", T.LongType()),
+    T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("spans", _SPAN),
+]
 
 
 def contamination(
@@ -196,44 +213,79 @@ def contamination(
     named once. Rows that repeat an id are judged one by one. An empty benchmark hits nothing. The
     four result columns replace columns of the same names.
     """
-    # Pickled with its class, so executors need no installed copy of this package.
-    automaton = docs.sparkSession.sparkContext.broadcast(
-        cloudpickle.dumps(build(benchmark, item_col, item_text_col, window))
-    )
-    added = ADDED
-    kept = docs.drop(*added)
-    schema = T.StructType(
-        [
-            *kept.schema.fields,
-            T.StructField("n_words", T.LongType()),
-            T.StructField("n_hit", T.LongType()),
-            T.StructField("items", T.ArrayType(T.StringType())),
-            T.StructField("spans", _SPAN),
-        ]
+    kept = docs.drop(*ADDED)
+    machines = automata(benchmark, item_col, item_text_col, window)
+    first, second = next(machines), next(machines, None)
+    if second is None:
+        schema = T.StructType([*kept.schema.fields, *_RESULT])
+        return kept.mapInArrow(_judge(docs.sparkSession, first, text_col), schema)
+    row = "_row"
+    while row in {c.lower() for c in kept.columns}:
+        row = f"_{row}"
+    numbered = shared.stored(kept.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    narrow = numbered.select(row, F.col(f"`{text_col}`"))
+    schema = T.StructType([*narrow.schema.fields, *_RESULT])
+    found = None
+    for machine in chain((first, second), machines):
+        hits = narrow.mapInArrow(_judge(docs.sparkSession, machine, text_col), schema).filter("n_hit > 0")
+        # Hits of a block are stored, so that only one automaton is in a worker's memory.
+        hits = shared.stored(hits.select(row, "items", "spans"), "hits")
+        found = hits if found is None else found.unionByName(hits)
+    merged = found.groupBy(row).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
     )
-    span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    joined = numbered.join(merged, row, "left").drop(row)
+    names = kept.columns
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in shared.slices(batch, text_col):
+                texts, items, spans = (part.column(c).to_pylist() for c in (text_col, "items", "spans"))
+                whole = [merge([(s["start"], s["end"]) for s in own or ()]) for own in spans]
+                counts = [len(words_of(t)) for t in texts]
+                yield _with_result(part.select(names), counts, [i or [] for i in items], whole)
+
+    return joined.mapInArrow(finish, T.StructType([*kept.schema.fields, *_RESULT]))
+
+
+def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted ranges without those that overlap or touch."""
+    found: list[tuple[int, int]] = []
+    for start, end in spans:
+        if found and found[-1][1] >= start:
+            found[-1] = (found[-1][0], max(found[-1][1], end))
+        else:
+            found.append((start, end))
+    return found
+
+
+def _with_result(
+    part: pa.RecordBatch, n_words: list[int], items: list[list[str]], spans: list[list[tuple[int, int]]]
+) -> pa.RecordBatch:
+    columns = [
+        pa.array(n_words, pa.int64()),
+        pa.array([sum(b - a for a, b in own) for own in spans], pa.int64()),
+        pa.array(items, pa.list_(pa.string())),
+        pa.array([[{"start": a, "end": b} for a, b in own] for own in spans], _SPAN_TYPE),
+    ]
+    return pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *ADDED])
+
+
+def _judge(spark: SparkSession, machine: Automaton, text_col: str):
+    # Pickled with its class, so executors need no installed copy of this package.
+    pickled = spark.sparkContext.broadcast(cloudpickle.dumps(machine))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = cloudpickle.loads(automaton.value)
+        own = cloudpickle.loads(pickled.value)
         for batch in batches:
             for part in shared.slices(batch, text_col):
-                n_words, n_hit, items, spans = [], [], [], []
-                for text in part.column(text_col).to_pylist():
-                    words = words_of(text)
-                    found, own = machine.scan(words)
-                    n_words.append(len(words))
-                    n_hit.append(sum(b - a for a, b in found))
-                    items.append(sorted({machine.names[i] for i in own}))
-                    spans.append([{"start": a, "end": b} for a, b in found])
-                columns = [
-                    pa.array(n_words, pa.int64()),
-                    pa.array(n_hit, pa.int64()),
-                    pa.array(items, pa.list_(pa.string())),
-                    pa.array(spans, span_type),
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *added])
-
-    return kept.mapInArrow(judge, schema)
+                words = [words_of(text) for text in part.column(text_col).to_pylist()]
+                found = [own.scan(w) for w in words]
+                items = [sorted({own.names[i] for i in known}) for _, known in found]
+                yield _with_result(part, [len(w) for w in words], items, [spans for spans, _ in found])
+
+    return judge
 
 
 def drop_contaminated(
@@ -246,7 +298,10 @@ def drop_contaminated(
     **columns: str,
 ) -> DataFrame:
     """Rows of `docs` whose longest span has at most `max_span` words and whose hit words make up
-    at most `max_coverage` of all words. Both at 0 keep only documents without any hit."""
+    at most `max_coverage` of all words. Both at 0 keep only documents without any hit.
+
+    Null and empty texts have no words and stay. Rows that repeat an id, or have none, are judged one by
+    one; columns of any name come back as they were. An empty table gives no rows."""
     kept_as, moved = shared.set_aside(docs, ADDED)
     judged = contamination(kept_as, benchmark, text_col=text_col, window=window, **columns)
     longest = F.coalesce(F.array_max(F.transform("spans", lambda s: s["end"] - s["start"])), F.lit(0))
@@ -258,7 +313,10 @@ def drop_contaminated(
 def strip_spans(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", min_span: int = 1, **options
 ) -> DataFrame:
-    """`docs` with every hit span of at least `min_span` words cut out of the text."""
+    """`docs` with every hit span of at least `min_span` words cut out of the text.
+
+    Null texts stay null. Rows that repeat an id, or have none, are cut one by one; columns of any name
+    come back as they were. An empty table gives no rows."""
     kept_as, moved = shared.set_aside(docs, ADDED)
     judged = contamination(kept_as, benchmark, text_col=text_col, **options)
     names = kept_as.columns

@@ -137,7 +137,10 @@ def judged(frame, benchmark):
     return sorted(map(tuple, rows), key=str)
 
 
-def test_contamination_like_brute_force(spark, docs):
+@pytest.mark.parametrize("block", [None, 500])  # bytes of items in one automaton
+def test_contamination_like_brute_force(spark, docs, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
     import random
 
     rng = random.Random(4)
@@ -153,6 +156,16 @@ def test_contamination_like_brute_force(spark, docs):
     assert judged(docs(rows[:3]), benchmark.limit(0)) == brute_hits(rows[:3], [])
 
 
+def test_texts_are_cut_alike_with_several_automata(spark, docs, sample, monkeypatch):
+    benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    frame = docs(sample).withColumnRenamed("_id", "_row")
+    whole = [r.asDict() for r in decontaminate.strip_spans(frame, benchmark).collect()]
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 4000)
+    parts = decontaminate.strip_spans(frame, benchmark)
+    assert parts.schema == frame.schema
+    assert sorted(map(str, (r.asDict() for r in parts.collect()))) == sorted(map(str, whole))
+
+
 def test_spans_are_cut_and_documents_dropped(spark, docs):
     item = "one two three four five six seven eight nine ten eleven"
     benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
