@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiframe.llm import encode, shared
@@ -28,7 +28,7 @@ def encode_documents(texts: DataFrame, tokenizer: str, end_id: int) -> DataFrame
     """(doc_id, ids, n_tokens, file_start) from (doc_id, text) rows in the order of the files.
 
     `ids` are signed 32-bit, ending with end_id; file_start counts the ids before them in the task,
-    which writes one file.
+    however many files it writes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,16 +91,21 @@ def read_tokens(spark: SparkSession, path: str, ids: list[int] | None = None) ->
     return found if ids is None else found.filter(F.col("doc_id").isin(ids))
 
 
-def file_bases(spark: SparkSession, path: str) -> DataFrame:
-    """(_file, _base): ids in all earlier files, one row a file. Only counts are read."""
+def _part() -> Column:
+    """The number of the task that wrote a file; a task may write several, one after another."""
+    return F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long").alias("_part")
+
+
+def part_bases(spark: SparkSession, path: str) -> DataFrame:
+    """(_part, _base): ids in the files of all earlier tasks, one row a task. Only counts are read."""
     rows = spark.read.schema("n_tokens long").orc(path)
-    totals = rows.groupBy(F.col("_metadata.file_name").alias("_file")).agg(F.sum("n_tokens"))
-    # Part files carry their partition's number, which follows the id ranges.
+    totals = rows.select("n_tokens", _part()).groupBy("_part").agg(F.sum("n_tokens"))
+    # Tasks are numbered in the order of their id ranges.
     ahead, bases = 0, []
-    for name, n in sorted(map(tuple, totals.collect())):
-        bases.append((name, ahead))
+    for part, n in sorted(map(tuple, totals.collect())):
+        bases.append((part, ahead))
         ahead += n
-    return spark.createDataFrame(bases, "_file string, _base long")
+    return spark.createDataFrame(bases, "_part long, _base long")
 
 
 def token_digests(spark: SparkSession, path: str) -> DataFrame:
@@ -113,17 +118,17 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
             ends = lists.offsets.to_numpy()
             crcs = [zlib.crc32(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
             counts = np.diff(ends).astype(np.int64)
-            columns = [batch.column(c) for c in ("doc_id", "_file", "file_start")]
+            columns = [batch.column(c) for c in ("doc_id", "_part", "file_start")]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(counts), pa.array(crcs, pa.int64())],
-                ["doc_id", "_file", "file_start", "n_tokens", "ids_crc32"],
+                ["doc_id", "_part", "file_start", "n_tokens", "ids_crc32"],
             )
 
     rows = spark.read.schema("doc_id long, ids array<int>, file_start long").orc(path)
-    rows = rows.withColumn("_file", F.col("_metadata.file_name"))
-    schema = "doc_id long, _file string, file_start long, n_tokens long, ids_crc32 long"
+    rows = rows.select("*", _part())
+    schema = "doc_id long, _part long, file_start long, n_tokens long, ids_crc32 long"
     return (
         rows.mapInArrow(digest, schema)
-        .join(F.broadcast(file_bases(spark, path)), "_file")
+        .join(F.broadcast(part_bases(spark, path)), "_part")
         .select("doc_id", (F.col("_base") + F.col("file_start")).alias("start"), "n_tokens", "ids_crc32")
     )
