@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -42,6 +45,40 @@ def test_language_edges(spark, docs):
     assert [r["lang_pred"] for r in language.identify(docs(rows[3:4]), nothing).collect()] == ["und"]
 
 
+def plain_language(model, text):
+    """(language, cosine, rejected) with one loop over n-grams and one over all centroids."""
+    if not any(unicodedata.category(c)[0] == "L" for c in text or ""):
+        return "und", 0.0, True
+    letters = [b if b >= 128 or 97 <= b <= 122 else 32 for b in text.lower().encode()]
+    data = b" ".join(bytes(letters).split())
+    counts = Counter()
+    for n in (1, 2, 3, 4):
+        for i in range(len(data) - n + 1):
+            code = n
+            for b in data[i : i + n]:
+                code = (code * 257 + b) % 2**32
+            counts[code * 2654435761 % 2**32 >> 18] += 1
+    weights = {slot: math.log1p(c) * float(model.idf[slot]) for slot, c in counts.items()}
+    length = math.sqrt(sum(w * w for w in weights.values())) or 1.0
+    cosines = [sum(w / length * float(row[slot]) for slot, w in weights.items()) for row in model.centroids]
+    best = max(range(len(cosines)), key=lambda c: (cosines[c], -c))
+    language = model.owner[best]
+    asked = model.floor[language] * min(1, math.sqrt(sum(counts.values()) / 256))
+    return model.languages[language], min(max(cosines[best], 0.0), 1.0), cosines[best] < asked
+
+
+def test_languages_like_plain_loops(spark, docs, sample):
+    model = language.fit(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter(~language.held_out()), clusters=3)
+    rows = [(i, t[:3000]) for i, t in sample[:60]]
+    rows += [(1000, None), (1001, ""), (1002, "12 ²"), (1003, "ß"), (1004, "日本語"), (1005, "zq zq xw " * 40), (1006, "The, und; que")]
+    got = {r["doc_id"]: r for r in language.identify(docs(rows), model).collect()}
+    for doc, text in rows:
+        name, cosine, rejected = plain_language(model, text)
+        assert (got[doc]["lang_pred"], got[doc]["rejected"]) == (name, rejected)
+        assert abs(got[doc]["score"] - cosine) < 1e-5
+    assert {r["lang_pred"] for r in got.values()} > {"und"}
+
+
 def test_long_texts_are_counted_whole(monkeypatch):
     text = "Das ist ein längerer Text, der in Stücken gezählt wird. " * 50
     whole = language.features(text)
