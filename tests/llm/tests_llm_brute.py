@@ -24,7 +24,7 @@ def near_least(rows, size=5, percent=80):
     ids = sorted(sets)
     for i, a in enumerate(ids):
         for b in ids[:i]:
-            if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     return {d for d in ids if find(d) == d}
