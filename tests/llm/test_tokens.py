@@ -22,8 +22,8 @@ ODD = [
 
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_pieces_give_the_ids_of_whole_texts(path, sample, monkeypatch):
-    monkeypatch.setattr(encode, "MOST_PIECES", 900)
-    monkeypatch.setattr(encode, "MOST_WORDS", 700)
+    monkeypatch.setattr(encode, "CACHE_BYTES", 200_000)
+    monkeypatch.setattr(encode, "LONGEST_KEPT", 20)
     plain = Tokenizer.from_file(path)
     own = encode.Encoder(path)
     texts = ODD + [t for _, t in sample[:60]] + [" ".join(ODD)]
@@ -33,15 +33,64 @@ def test_pieces_give_the_ids_of_whole_texts(path, sample, monkeypatch):
         assert [x.tolist() for x in own.ids(part)] == want
 
 
+def same_as_the_library(own, texts):
+    want = own.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    return [t for t, got, e in zip(texts, own.ids(texts), want) if got.tolist() != e.ids]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_zero_characters_and_capitals_that_grow(path):
+    texts = ["'B \0", "\0", "\0 \0", "a \0b \0", "İ.", "İ,", "İ-", "(İ)", "bİ:", "x İ. İSTANBUL'da İ", "\0İ \0İ."]
+    assert same_as_the_library(encode.Encoder(path), texts) == []
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_every_character_alone_inside_and_before_punctuation(path):
+    own = encode.Encoder(path)
+    # All of the first planes' letters and signs, and samples beyond.
+    codes = [*range(0x3100), *range(0xA640, 0xABFF), *range(0xF900, 0x10FFF, 3), *range(0x11000, 0x32400, 41)]
+    for first in range(0, len(codes), 1000):
+        chars = [chr(c) for c in codes[first : first + 1000] if not 0xD800 <= c < 0xE000]
+        texts = [t for x in chars for t in (x, f"a{x}b", f"Word {x}. {x},x", f"(x{x}) {x}-{x}: {x}É")]
+        assert same_as_the_library(own, texts) == []
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_random_texts(path):
+    own, rng = encode.Encoder(path), random.Random(3)
+    latin = [chr(c) for c in range(256)]
+    texts = ["".join(rng.choices(latin, k=rng.randint(0, 12))) for _ in range(4000)]
+    texts += ["".join(rng.choices([*"aZé1½ '., \n\t", "'re", "'S", "  ", "\u0101", "\xad", "\xa0"], k=rng.randint(0, 16))) for _ in range(4000)]
+    assert same_as_the_library(own, texts) == []
+    bits = ["a", "B", "é", "İ", "\0", " ", " ", ".", ",", "'", "ß", "\n", "  ", "1", "ﬁ", "Σ", "word", "-", "<|endoftext|>", "\u00a0"]
+    texts = ["".join(rng.choices(bits, k=rng.randint(0, 14))) for _ in range(6000)]
+    assert same_as_the_library(own, texts) == []
+
+
+def test_caches_stay_within_their_bytes(monkeypatch):
+    monkeypatch.setattr(encode, "CACHE_BYTES", 50_000)
+    own, rng = encode.Encoder(WORDS), random.Random(4)
+    for _ in range(40):
+        text = " ".join("".join(rng.choices("abcdefghij", k=rng.randint(3, 40))) for _ in range(100)) + " " + "z" * 5000
+        assert same_as_the_library(own, [text, text + " \u0101"]) == []
+        for cache, kept, most in ((own.tokens, own.tokens.kept, 50_000), (own.pieces, own.kept, 25_000), (own.words, own.kept_words, 12_500)):
+            assert kept < most + 100 * 400 and max(map(len, cache), default=0) <= encode.LONGEST_KEPT
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-def test_token_files_round_trip_in_id_order(spark, docs, sample, tmp_path):
+@pytest.mark.parametrize("most", [0, 3])
+def test_token_files_round_trip_in_id_order(spark, docs, sample, tmp_path, most):
     rows = [(5, None), (3, ""), (9, ODD[12]), (3, "again"), (None, "none")] + [(i + 100, t) for i, t in sample[:40]]
     random.Random(1).shuffle(rows)
     path = str(tmp_path / "t")
-    token_files.write_tokens(docs(rows), path, BYTES, 2, files=4)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", most)  # a task may write several files
+    try:
+        token_files.write_tokens(docs(rows), path, BYTES, 2, files=4)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
     plain = Tokenizer.from_file(BYTES)
     ids = {(i, t): [*plain.encode(t or "", add_special_tokens=False).ids, 2] for i, t in rows}
     got = [tuple(r) for r in token_files.token_digests(spark, path).collect()]
