@@ -1,8 +1,11 @@
-"""Costly work is shared out among tasks, whatever the size of its input files."""
+"""Costly work is shared out among tasks, whatever the size of its input files, and done once."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from checks.inputs import Inputs
+from lexiframe.operators import reconcile
 
 PARTS = "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int"
 
@@ -14,3 +17,28 @@ def test_pages_of_one_small_file_are_read_by_many_tasks(spark, tmp_path):
     sizes = pages.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
     assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert max(sizes) < 200 and sum(sizes) == 400
+
+
+def test_a_filter_on_actions_does_not_repeat_the_texts(spark, tmp_path):
+    """The plan's filter reads decided values; it holds none of the expressions that made the texts."""
+    names = "table_code string, table_fqn string, warehouse_table_name string, catalog_name string, label string, " + (
+        "description string, source_ref string, current_display_name string, current_description string, "
+        "has_display_name boolean, has_description boolean"
+    )
+    rows = [("a", "s.a", "csd_a", "csd_a", " A  b", "text\tb", "r", None, "", False, False)]
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/matched")
+    matched = spark.read.parquet(f"{tmp_path}/matched")
+    options = reconcile.PlanOptions(service="s")
+    columns = (
+        matched.withColumns({"column_name": F.lit("c"), "ordinal": F.lit(1), "column_has_description": F.lit(True)})
+        .withColumnRenamed("has_display_name", "table_has_display_name")
+        .withColumn("column_has_display_name", F.lit(True))
+    )
+    detail = reconcile.plan_detail(matched, columns, options)
+    written = detail.filter(reconcile.will_write())
+    plan = written._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    filters = [line for line in plan if "Filter " in line]
+    assert not any("regexp_replace" in line for line in filters)
+    found = {row.entity_type: row for row in written.collect()}
+    assert found["table"].proposed_description == "text b"
+    assert found["column"].reason == "displayName is blank/default; description is blank"
