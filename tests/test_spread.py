@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import plan_checks
 from checks.inputs import Inputs
-from lexiframe.operators import reconcile
+from lexiframe.operators import patch, reconcile
 
 PARTS = "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int"
 
@@ -42,3 +43,26 @@ def test_a_filter_on_actions_does_not_repeat_the_texts(spark, tmp_path):
     found = {row.entity_type: row for row in written.collect()}
     assert found["table"].proposed_description == "text b"
     assert found["column"].reason == "displayName is blank/default; description is blank"
+
+
+def test_an_apply_that_stops_makes_its_plan_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(plan_checks, "stored", lambda frame, name: made.append(name) or frame)
+    plan_checks.apply_state_stopped(Inputs(spark, "/root/testdata/sf0.001"))
+    assert made == ["plan", "checks"]
+
+
+def test_verification_compares_a_text_once(spark, tmp_path):
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    names = "table_code string, is_column boolean, source_column string, entity_type string, table_fqn string, " + (
+        "column_name string, ordinal int, display_name_action string, description_action string, "
+        "proposed_display_name string, proposed_description string"
+    )
+    rows = [("t1", False, None, "table", "wh.dw.core.csd_t1", None, None, "write", "write", "a", "b")]
+    spark.createDataFrame(rows, names).write.parquet(f"{tmp_path}/writes")
+    writes = spark.read.parquet(f"{tmp_path}/writes")
+    checks = patch.verify_patches(writes, inputs.cat_tables, inputs.cat_columns)
+    plan = checks._jdf.queryExecution().optimizedPlan().toString()
+    # Of tables and of columns, the text seen and the text proposed.
+    assert plan.count("(?iu)<br") == 4
+    assert checks.select("error").first()[0].startswith("table displayName did not verify")
