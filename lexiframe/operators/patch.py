@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from lexiframe.constants import WRITE
 from lexiframe.functions.richtext import description_matches
-from lexiframe.operators.reconcile import PLAN_ORDER, column_lookup, made_once
-from lexiframe.operators.skew import spread_join
+from lexiframe.operators.reconcile import PLAN_ORDER, column_lookup
+from lexiframe.operators.skew import made_once, spread_join
 
 
 def writes_by_table(writes: DataFrame) -> DataFrame:

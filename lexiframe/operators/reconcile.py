@@ -28,7 +28,7 @@ from lexiframe.functions.names import (
     normalize_table_code,
 )
 from lexiframe.functions.text import clean_multiline_text, clean_text
-from lexiframe.operators.skew import spread_join
+from lexiframe.operators.skew import made_once, spread_join
 from lexiframe.schemas import PLAN_COLUMNS
 
 PLAN_ORDER = ["table_code", "is_column", "source_column"]
@@ -227,16 +227,6 @@ def tables_without_dictionary(scope: DataFrame, matched: DataFrame) -> DataFrame
     return names.join(matched.select("table_fqn").distinct(), "table_fqn", "left_anti")
 
 
-def made_once(frame: DataFrame, names: list[str]) -> DataFrame:
-    """The frame with `names` as values that later filters and projections read, not repeat.
-
-    Spark moves a filter below a projection by writing the projection's expressions into it, down
-    to the condition of a join; it does not move one below a generator.
-    """
-    kept = [name for name in frame.columns if name not in names]
-    return frame.select(*kept, F.inline(F.array(F.struct(*names))))
-
-
 def _decided(frame: DataFrame, options: PlanOptions, is_default: Column, decide_on: str) -> DataFrame:
     """Add proposals, actions and reasons. Cleaned texts are made once."""
     formatted = proposed_description(

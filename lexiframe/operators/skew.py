@@ -1,4 +1,4 @@
-"""Joins and ranks that stay spread out when one key holds a large share of the rows."""
+"""Joins and ranks that stay spread out when one key holds many rows, and values made once."""
 
 from __future__ import annotations
 
@@ -73,3 +73,13 @@ def hot_key_join(
         .drop("_hot")
     )
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def made_once(frame: DataFrame, names: list[str]) -> DataFrame:
+    """The frame with `names` as values that later filters and projections read, not repeat.
+
+    Spark moves a filter below a projection by writing the projection's expressions into it, down
+    to the condition of a join; it does not move one below a generator.
+    """
+    kept = [name for name in frame.columns if name not in names]
+    return frame.select(*kept, F.inline(F.array(F.struct(*names))))

@@ -29,7 +29,7 @@ from lexiframe.functions.text import (
     section_text,
     strip,
 )
-from lexiframe.operators.skew import spread_join
+from lexiframe.operators.skew import made_once, spread_join
 from lexiframe.schemas import FIELD_COLUMNS, INDEX_ENTRY, INDEX_FIELDS, with_missing
 
 
@@ -357,7 +357,7 @@ def annotation_columns(fields: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataF
 def _coded_records(records: DataFrame, prefix: str) -> DataFrame:
     line = (F.col("record_no") + 1).cast("string")
     return (
-        with_table_code(records, "table_code", prefix)
+        made_once(with_table_code(records, "table_code", prefix), ["table_code"])
         .filter("table_code <> ''")
         .withColumn("source_ref", F.concat("path", F.lit(":"), line))
     )
@@ -390,8 +390,8 @@ def csv_columns(records: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame:
     rows = _coded_records(records, prefix)
     named = with_column_name(
         rows.withColumn("column_name", F.coalesce("column_name", F.lit(""))), "column_name", "name"
-    ).filter("name <> ''")
-    last = named.groupBy("table_code", "name").agg(
+    )
+    last = made_once(named, ["name"]).filter("name <> ''").groupBy("table_code", "name").agg(
         F.max_by(
             F.struct("column_label", "column_description", "source_ref"),
             F.struct("path", "record_no"),

@@ -240,11 +240,13 @@ def catalog_columns(documents: DataFrame) -> DataFrame:
 
 
 def parse_csv_lines(lines: DataFrame) -> DataFrame:
-    """CSV records held as text in `line`, for records that arrive in a table."""
+    """CSV records held as text in `line`, for records that arrive in a table.
+
+    A list of one record keeps Spark from reading the line again for every later filter.
+    """
     schema = ", ".join(f"{name} string" for name in CSV_COLUMNS)
-    return lines.select("*", F.from_csv("line", F.lit(schema), {"escape": '"'}).alias("r")).select(
-        "path", "record_no", "r.*"
-    )
+    record = F.from_csv("line", F.lit(schema), {"escape": '"'})
+    return lines.select("path", "record_no", F.inline(F.array(record)))
 
 
 def active_tables(texts: DataFrame) -> DataFrame:
