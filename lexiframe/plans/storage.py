@@ -37,9 +37,22 @@ def stored(frame: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.parquet(path)
 
 
+#: Rows of one JSON file. A compressed file is read by one task, so no file may hold a long share.
+JSON_FILE_ROWS = 1_000_000
+
+
 def write_json(frame: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One JSON object a line, null members written out, text not escaped to ASCII."""
-    frame.write.mode(mode).option("ignoreNullFields", False).json(path)
+    """One JSON object a line, null members written out, text not escaped to ASCII.
+
+    Files are compressed: the members' names alone are over half of a plan row.
+    """
+    (
+        frame.write.mode(mode)
+        .option("ignoreNullFields", False)
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", JSON_FILE_ROWS)
+        .json(path)
+    )
 
 
 def write_relational(
