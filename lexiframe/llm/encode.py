@@ -23,9 +23,9 @@ from lexiframe.llm import shared
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Bytes that a worker keeps of words, about, and half of that of pieces of texts beyond Latin-1; and
-#: the longest that is kept.
-CACHE_BYTES, LONGEST_KEPT = 32 << 20, 1024
+#: Bytes that a worker keeps of words met lately, about, as much of words met before those, and half
+#: of that of pieces of texts beyond Latin-1; and the longest that is kept.
+CACHE_BYTES, LONGEST_KEPT = 80 << 20, 1024
 #: Bytes of an entry besides those of its key and its ids.
 ENTRY_BYTES = 190
 
@@ -47,19 +47,31 @@ _AS_CHARACTER = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not
 
 
 class _Kept(dict):
-    """Ids of words met so far; others are asked for, and kept unless they are long."""
+    """Ids of words met lately; others are asked for, and kept unless they are long.
+
+    Words met before those are asked of `older` first, so words in use are never lost at once.
+    """
 
     def __init__(self, word: Callable[[str], bytes]):
         super().__init__()
         self.word, self.kept = word, 0
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.word(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.word(word)
         if len(word) <= LONGEST_KEPT:
             self[word] = ids
             self.kept += len(word) + len(ids) + ENTRY_BYTES
         return ids
 
+    def age(self) -> None:
+        """Forget the older words, and begin anew beside those of now."""
+        self.older = dict(self)
+        self.clear()
+        self.kept = 0
+
 
 def _is_plain(text: str) -> bool:
     """Is the text of Latin-1 characters, and without the beginning of a special token?"""
@@ -120,8 +132,7 @@ class Encoder:
 
     def _plain_ids(self, texts: list[str]) -> list[bytes]:
         if self.tokens.kept > CACHE_BYTES:
-            self.tokens.clear()
-            self.tokens.kept = 0
+            self.tokens.age()
         get = self.tokens.__getitem__
         return [b"".join(map(get, self._words(t))) for t in texts]
 
