@@ -13,6 +13,7 @@ from lexiframe.constants import ASCII_DIGITS, DIGITS, LINE_BREAK, METADATA_LABEL
 from lexiframe.functions.html import compose, read_page
 from lexiframe.functions.names import base_name, join_path, parse_flag
 from lexiframe.functions.text import collapse, strip, tidy_lines
+from lexiframe.operators.skew import made_once
 
 ANNOTATIONS = [*METADATA_LABELS.values(), "description", "content"]
 
@@ -126,7 +127,7 @@ def field_metadata(shredded: DataFrame) -> DataFrame:
             row["cells"][1]["joined"].alias("value"),
         ),
     )
-    found = shredded.withColumn("_pairs", pairs)
+    found = made_once(shredded.withColumn("_pairs", pairs), ["_pairs"])
 
     def last_value(label: str) -> Column:
         matching = F.filter("_pairs", lambda pair: pair["name"] == label)
@@ -153,13 +154,14 @@ def field_sections(shredded: DataFrame) -> DataFrame:
     """
     last = _inside(F.size("page.tables") - 1)
     texts = F.transform(F.filter("page.rows", last), lambda row: row["joined"])
-    framed = shredded.withColumn("_texts", texts)
+    framed = made_once(shredded.withColumn("_texts", texts), ["_texts"])
 
     kind = lambda text: F.when(text.contains("Description:"), "d").when(
         text.contains("Content:"), "c"
     )
     marks = F.transform("_texts", lambda text, at: F.struct(kind(text).alias("kind"), (at + 1).alias("at")))
-    framed = framed.withColumn("_heads", F.filter(marks, lambda mark: mark["kind"].isNotNull()))
+    heads = F.filter(marks, lambda mark: mark["kind"].isNotNull())
+    framed = made_once(framed.withColumn("_heads", heads), ["_heads"])
 
     size = F.size("_texts")
 
@@ -192,14 +194,16 @@ def field_sections(shredded: DataFrame) -> DataFrame:
 
 def clean_annotations(frame: DataFrame) -> DataFrame:
     """Collapse white space (by line in description and content) and bring text to NFC."""
-    tidy = [
-        tidy_lines(F.col(name)) if name in ("description", "content") else collapse(F.col(name))
+    tidy = {
+        name: tidy_lines(F.col(name)) if name in ("description", "content") else collapse(F.col(name))
         for name in ANNOTATIONS
-    ]
-    packed = frame.withColumn("_values", compose(*tidy))
+    }
+    # Without this, every name would make all thirteen texts again, from the page's rows on.
+    tidied = made_once(frame.withColumns(tidy), ANNOTATIONS)
+    packed = made_once(tidied.withColumn("_values", compose(*ANNOTATIONS)), ["_values"])
     return packed.withColumns(
         {name: F.col("_values")[at] for at, name in enumerate(ANNOTATIONS)}
-    ).drop("_values")
+    ).select(frame.columns)
 
 
 def annotate_pages(pages: DataFrame) -> DataFrame:
