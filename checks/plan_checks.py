@@ -28,8 +28,8 @@ def source_tables(inputs: Inputs) -> DataFrame:
     )
 
 
-def source_columns(inputs: Inputs) -> DataFrame:
-    return relational_columns(inputs.dict_fields, inputs.dict_tables, PREFIX, "rel")
+def source_columns(inputs: Inputs, wanted: DataFrame | None = None) -> DataFrame:
+    return relational_columns(inputs.dict_fields, inputs.dict_tables, PREFIX, "rel", wanted)
 
 
 def product(inputs: Inputs) -> DataFrame:
@@ -65,6 +65,19 @@ def stored_writes(inputs: Inputs) -> DataFrame:
     return stored(build_plan(inputs).writes, "plan")
 
 
+def changed_tables(inputs: Inputs) -> DataFrame:
+    """Names of the tables the plan writes to, stored as an apply job stores its plan."""
+    names = reconcile.changed_tables(
+        source_tables(inputs),
+        lambda wanted: source_columns(inputs, wanted),
+        product_scope(inputs),
+        inputs.cat_tables,
+        inputs.cat_columns,
+        OPTIONS,
+    )
+    return stored(names, "changed")
+
+
 def options_with(**changes: object) -> PlanOptions:
     return PlanOptions(
         service=SERVICE, database=DATABASE, schema=SCHEMA, source_prefix=PREFIX, **changes
@@ -423,13 +436,13 @@ _WRITTEN = "(SELECT table_fqn FROM writes)"
 
 @check("backup_tables", over_plan(f"SELECT table_fqn, name, display_name, description FROM cat_tables WHERE table_fqn IN {_WRITTEN}"))
 def backup_tables(inputs: Inputs) -> DataFrame:
-    tables, _ = patch.backup_tables(stored_writes(inputs), inputs.cat_tables, inputs.cat_columns)
+    tables, _ = patch.backup_tables(changed_tables(inputs), inputs.cat_tables, inputs.cat_columns)
     return tables.select("table_fqn", "name", "display_name", "description")
 
 
 @check("backup_columns", over_plan(f"SELECT table_fqn, ordinal, name, display_name, description FROM cat_columns WHERE table_fqn IN {_WRITTEN}"))
 def backup_columns(inputs: Inputs) -> DataFrame:
-    _, columns = patch.backup_tables(stored_writes(inputs), inputs.cat_tables, inputs.cat_columns)
+    _, columns = patch.backup_tables(changed_tables(inputs), inputs.cat_tables, inputs.cat_columns)
     return columns.select("table_fqn", "ordinal", "name", "display_name", "description")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -288,8 +289,12 @@ def plan_detail(matched: DataFrame, columns: DataFrame, options: PlanOptions) ->
     found no catalogue column stay in, with `is_matched` false, so that one pass serves the plan
     and the list of unmatched columns.
     """
+    return _table_detail(matched, options).unionByName(_column_detail(columns, options))
+
+
+def _table_detail(matched: DataFrame, options: PlanOptions) -> DataFrame:
     physical = F.coalesce("catalog_name", "warehouse_table_name")
-    of_tables = _decided(
+    return _decided(
         matched,
         options,
         is_default_table_name(F.col("_name_now"), physical, options.source_prefix),
@@ -308,9 +313,12 @@ def plan_detail(matched: DataFrame, columns: DataFrame, options: PlanOptions) ->
         F.col("has_description").alias("replaces_description"),
         F.lit(True).alias("is_matched"),
     )
+
+
+def _column_detail(columns: DataFrame, options: PlanOptions) -> DataFrame:
     found = columns.withColumnRenamed("column_name", "source_column")
     shown = F.coalesce(F.nullif("catalog_name", F.lit("")), F.col("source_column"))
-    of_columns = _decided(
+    return _decided(
         found,
         options,
         is_default_column_name(F.col("_name_now"), shown),
@@ -331,7 +339,6 @@ def plan_detail(matched: DataFrame, columns: DataFrame, options: PlanOptions) ->
         F.col("column_has_description").alias("replaces_description"),
         F.col("catalog_name").isNotNull().alias("is_matched"),
     )
-    return of_tables.unionByName(of_columns)
 
 
 @dataclass(frozen=True)
@@ -384,6 +391,32 @@ def will_write() -> Column:
     return (F.col("display_name_action") == WRITE) | (F.col("description_action") == WRITE)
 
 
+def changed_tables(
+    src_tables: DataFrame,
+    columns_of: Callable[[DataFrame], DataFrame],
+    scope: DataFrame,
+    cat_tables: DataFrame,
+    cat_columns: DataFrame,
+    options: PlanOptions,
+) -> DataFrame:
+    """Names of the tables that the plan writes to, each once, without making the whole plan.
+
+    A table whose own row is written is changed whatever its columns are, so columns are compared
+    for the other tables only: `columns_of` gives the source columns of some `src_tables`. The
+    rules are those of the plan.
+    """
+    matched = plan_tables(src_tables, scope, cat_tables, options)
+
+    def changed(detail: DataFrame) -> DataFrame:
+        written = detail.filter(F.col("is_matched") & will_write())
+        return written.select("table_fqn").distinct()
+
+    by_table = changed(_table_detail(matched, options))
+    open_tables = matched.join(by_table, "table_fqn", "left_anti")
+    columns = plan_columns(open_tables, columns_of(open_tables), cat_columns)
+    return by_table.unionByName(changed(_column_detail(columns, options)))
+
+
 def plan_summary(plan: Plan) -> DataFrame:
     """Eight counters: one pass over the rows, and two counts of tables."""
     kept = F.col("is_matched")

@@ -208,14 +208,21 @@ def relational_tables(
 
 
 def relational_columns(
-    fields: DataFrame, tables: DataFrame, prefix: str = DEFAULT_PREFIX, path: str = ""
+    fields: DataFrame,
+    tables: DataFrame,
+    prefix: str = DEFAULT_PREFIX,
+    path: str = "",
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """`src_columns` of the relational model; of rows with one name the last id wins.
 
-    The winner is chosen before its texts are built, so each text is built once.
+    The winner is chosen before its texts are built, so each text is built once. With `wanted`
+    only columns of its `table_code`s are made; others leave before anything is done with them.
     """
     coded = with_table_code(fields, "table_id", prefix)
     known = tables.select(normalize_table_code(F.col("table_id"), prefix).alias("table_code")).distinct()
+    if wanted is not None:
+        known = known.join(wanted.select("table_code"), "table_code", "left_semi")
     named = with_column_name(
         spread_join(coded, known, ["table_code"], "left_semi", spread=["id"]), "field_name"
     )
