@@ -3,21 +3,17 @@
 # Characters that count as white space when text is stripped or collapsed.
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 # The same set as a Java regular-expression class. The wide characters sit behind one range test,
-# so that most characters are decided by the Latin part alone.
-_WIDE = "".join(f"\\x{{{ord(char):x}}}" for char in WHITESPACE if char >= "\u0100")
+# so that most characters are decided by the Latin part alone. The characters stand for themselves:
+# Spark compares a pattern with the last one for each row, so a short pattern is a faster one.
+_WIDE = "".join(char for char in WHITESPACE if char >= "\u0100")
 
 
-def _java_class(latin: str) -> str:
-    return rf"[{latin}[\x{{1680}}-\x{{3000}}&&[{_WIDE}]]]"
-
-
-_LATIN = "".join(f"\\x{ord(char):02x}" for char in WHITESPACE if char < "\u0100")
-WS_CLASS = _java_class(_LATIN)
-# White space other than the plain space.
-WS_NOT_SPACE = _java_class(_LATIN.replace("\\x20", ""))
-# Sequences that end a line, and those among them that are not a plain line feed already.
+_LATIN = "".join(char for char in WHITESPACE if char < "\u0100")
+WS_CLASS = f"[{_LATIN}[\u1680-\u3000&&[{_WIDE}]]]"
+NOT_WS = f"[^{WS_CLASS}]"
+# Sequences that end a line, and the characters they are made of.
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
-FOREIGN_LINE_BREAK = r"\r\n?|[\x0b\x0c\x1c-\x1e\x85\x{2028}\x{2029}]"
+LINE_BREAK_CHAR = r"[\n-\r\x1c-\x1e\x85\x{2028}\x{2029}]"
 # Decimal digits of all scripts, and the ASCII digit each one stands for.
 DIGITS = "".join(chr(c) for c in range(0x80, 0x20000) if chr(c).isdecimal())
 ASCII_DIGITS = "".join(str(int(char)) for char in DIGITS)

@@ -7,17 +7,21 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexiframe.constants import DEFAULT_PREFIX
+from lexiframe.constants import DEFAULT_PREFIX, NOT_WS, WS_CLASS
 from lexiframe.functions.text import clean_text, strip
 
+# White space, each kind of quotes, white space: what is stripped, from the outside to the inside.
+_WRAPPED = [WS_CLASS, '"', "'", r"[\[\]]", "`", WS_CLASS]
+_OPENING = "".join(f"{mark}*" for mark in _WRAPPED)
+_CLOSING = "".join(f"{mark}*+" for mark in reversed(_WRAPPED))
+# The name reaches to the last character that can not be stripped; only behind it are marks tried.
+_BARE_NAME = rf"(?s)\A{_OPENING}((?:.*{NOT_WS[:-1]}\"'\[\]`])?.*?){_CLOSING}\z"
+
 
 def clean_identifier(value: Column) -> Column:
-    """Strip white space and quotes, lower the case. Plain names skip the stripping."""
-    text = F.coalesce(value, F.lit(""))
-    bare = strip(text)
-    for quotes in ('"', "'", "[]", "`"):
-        bare = F.btrim(bare, F.lit(quotes))
-    return F.when(text.rlike(r"\A[a-z0-9_]*\z"), text).otherwise(F.lower(strip(bare)))
+    """Strip white space and quotes, lower the case. One pattern, which names `value` once."""
+    # Folded first: Spark takes upper(lower(x)) for upper(x), which is not so for every letter.
+    return F.regexp_extract(F.lower(F.coalesce(value, F.lit(""))), _BARE_NAME, 1)
 
 
 def base_name(path: Column) -> Column:

@@ -6,28 +6,36 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexiframe.constants import (
-    FOREIGN_LINE_BREAK,
     LEGACY_HEADING,
-    WHITESPACE,
+    LINE_BREAK_CHAR,
+    NOT_WS,
     WS_CLASS,
-    WS_NOT_SPACE,
 )
 
 
+# From the first to the last character that is no white space. Spark's own trim for a set of
+# characters looks each one up in the set and notes the place of every character of the text.
+_INNER = f"(.*{NOT_WS}|)"
+
+
 def strip(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    return F.regexp_extract(text, rf"(?s)\A{WS_CLASS}*{_INNER}", 1)
 
 
 def null_if_empty(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
-# The patterns below match only what has to change: a single space between words is no match.
-_RUN = f" {WS_CLASS}+|{WS_NOT_SPACE}{WS_CLASS}*"
-_BLANK_RUN = " [ \t]+|\t[ \t]*"
+# The patterns below match only what has to change: a single space between words is no match. Each
+# begins with one class, so that a character outside it costs one test.
+_RUN = f"{WS_CLASS}(?:(?<! )|{WS_CLASS}){WS_CLASS}*"
+_BLANK_RUN = "[ \t](?:(?<=\t)|[ \t])[ \t]*"
+# A white-space run that holds a line break: the end of a line, blank lines, the next line's indent.
 # The look-behind lets each white-space run be entered once only, so long runs stay linear.
-_LINE_EDGE = f"(?<!{WS_CLASS})(?:{WS_CLASS}+\n{WS_CLASS}*|\n{WS_CLASS}+)"
+_LINE_EDGE = (
+    f"{WS_CLASS}(?<!{WS_CLASS}{{2}})(?:(?<={LINE_BREAK_CHAR})|{WS_CLASS}*?{LINE_BREAK_CHAR}){WS_CLASS}*"
+)
 
 
 def collapse(text: Column) -> Column:
@@ -43,11 +51,14 @@ def is_blank(text: Column) -> Column:
     return clean_text(text).isNull()
 
 
+def _spaced_lines(text: Column) -> Column:
+    """Collapse tabs and spaces inside lines, strip lines where they meet, drop blank lines."""
+    return F.regexp_replace(F.regexp_replace(text, _LINE_EDGE, "\n"), _BLANK_RUN, " ")
+
+
 def tidy_lines(text: Column) -> Column:
     """Collapse tabs and spaces inside lines, strip every line, drop blank lines."""
-    unified = F.regexp_replace(text, FOREIGN_LINE_BREAK, "\n")
-    spaced = F.regexp_replace(unified, _BLANK_RUN, " ")
-    return strip(F.regexp_replace(spaced, _LINE_EDGE, "\n"))
+    return strip(_spaced_lines(text))
 
 
 def clean_multiline_text(text: Column) -> Column:
@@ -55,13 +66,15 @@ def clean_multiline_text(text: Column) -> Column:
 
 
 def clean_description(text: Column) -> Column:
-    without_first = F.trim(F.regexp_replace(clean_text(text), "(?iu)^description: *", ""))
-    return null_if_empty(F.trim(F.regexp_replace(without_first, "(?iu)^content: *", "")))
+    # Clean text has single spaces only, so nothing is left to trim behind a label.
+    labels = r"(?iu)\A(?:description: *)?(?:content: *)?"
+    return null_if_empty(F.regexp_replace(clean_text(text), labels, ""))
 
 
 def section_text(text: Column, label: str) -> Column:
     """Tidy text without its leading label, empty if blank. `label` is letters and spaces only."""
-    return strip(F.regexp_replace(tidy_lines(text), f"(?iu)^{label}:{WS_CLASS}*", ""))
+    start = rf"(?s)\A{WS_CLASS}*(?:(?iu:{label}:){WS_CLASS}*)?"
+    return F.regexp_extract(_spaced_lines(text), start + _INNER, 1)
 
 
 def clean_legacy_section(text: Column, label: str) -> Column:
