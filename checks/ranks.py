@@ -9,21 +9,31 @@ from pyspark.sql import functions as F
 def bucketed_rank(
     frame: DataFrame, group: str, order: str, name: str, width: int = 100_000
 ) -> DataFrame:
-    """Zero-based rank of the integer `order` inside `group`; `order` is unique in its group.
+    """Distinct rows of `frame` with the zero-based rank of the integer `order` inside `group`;
+    `order` is unique in its group once rows are distinct.
 
     Rows are ranked inside buckets of `width` order values, so no task sees more than `width`
-    rows of a group; the bucket sizes then give the offsets.
+    rows of a group; the bucket sizes then give the offsets. Rows go to their buckets once: there
+    they are made distinct, and both ranks and sizes are read. Rows without a group or order get
+    no rank; all three tests are named, so that both readers share one exchange.
     """
-    bucketed = frame.withColumn("_bucket", F.floor(F.col(order) / width))
-    sizes = bucketed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    whole = frame.withColumn("_bucket", F.floor(F.col(order) / width)).filter(
+        F.col(group).isNotNull() & F.col(order).isNotNull() & F.col("_bucket").isNotNull()
+    )
+    bucketed = whole.repartition(group, "_bucket").distinct()
+    bucket = Window.partitionBy(group, "_bucket")
+    ranked = bucketed.withColumns(
+        {
+            "_rank": F.row_number().over(bucket.orderBy(order)) - 1,
+            "_size": F.count(F.lit(1)).over(bucket),
+        }
+    )
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    offsets = ranked.filter("_rank = 0").select(
         group, "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
     )
-    inside = Window.partitionBy(group, "_bucket").orderBy(order)
     return (
-        bucketed.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(offsets, [group, "_bucket"])
+        ranked.join(offsets, [group, "_bucket"])
         .withColumn(name, (F.col("_rank") + F.col("_offset")).cast("int"))
-        .drop("_bucket", "_rank", "_offset")
+        .drop("_bucket", "_rank", "_size", "_offset")
     )

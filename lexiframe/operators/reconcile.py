@@ -29,8 +29,8 @@ from lexiframe.functions.names import (
     normalize_table_code,
 )
 from lexiframe.functions.text import clean_multiline_text, clean_text
-from lexiframe.operators.skew import made_once, spread_join
-from lexiframe.schemas import PLAN_COLUMNS
+from lexiframe.operators.skew import made_once, short_join
+from lexiframe.schemas import IN_LOWER_CASE, PLAN_COLUMNS
 
 PLAN_ORDER = ["table_code", "is_column", "source_column"]
 
@@ -177,13 +177,17 @@ def column_lookup(cat_columns: DataFrame) -> DataFrame:
 
     The key holds the column name, so a table with a third of all columns is still spread out.
     """
+    return _lookup(cat_columns, ["table_fqn"])
+
+
+def _lookup(cat_columns: DataFrame, keys: list[str]) -> DataFrame:
     last = F.struct(F.coalesce("name", F.lit("")).alias("name"), "display_name", "description")
     first = F.struct("ordinal", "has_display_name", "has_description")
     return (
-        cat_columns.groupBy("table_fqn", F.lower("name").alias("folded"))
+        cat_columns.groupBy(*keys, _folded(cat_columns, "name").alias("folded"))
         .agg(F.max_by(last, "ordinal").alias("last"), F.min_by(first, "ordinal").alias("first"))
         .select(
-            "table_fqn",
+            *keys,
             "folded",
             F.col("last.name").alias("catalog_name"),
             F.col("last.display_name").alias("current_display_name"),
@@ -195,20 +199,36 @@ def column_lookup(cat_columns: DataFrame) -> DataFrame:
     )
 
 
+def _folded(frame: DataFrame, name: str) -> Column:
+    """Folded form of a column name: the name itself where its source says that it is in lower case."""
+    known = frame.schema[name].metadata.items() >= IN_LOWER_CASE.items()
+    return F.col(name) if known else F.lower(name)
+
+
 def plan_columns(matched: DataFrame, src_columns: DataFrame, cat_columns: DataFrame) -> DataFrame:
-    """Source columns of matched tables; `catalog_name` is null where the catalogue has none."""
+    """Source columns of matched tables; `catalog_name` is null where the catalogue has none.
+
+    Both sides meet by table code and column name, by which sources have chosen among their rows:
+    the texts of a source column are not shuffled again.
+    """
     tables = matched.select(
         "table_code",
         "table_fqn",
         "warehouse_table_name",
         F.col("has_display_name").alias("table_has_display_name"),
     )
-    wanted = spread_join(src_columns, tables, ["table_code"], spread=["column_name"]).withColumn(
-        "folded", F.lower("column_name")
-    )
+    wanted = short_join(src_columns, tables, ["table_code"], spread=["column_name"])
+    wanted = wanted.withColumn("folded", _folded(src_columns, "column_name"))
     # Only columns of matched tables are put in order; the rest of the catalogue is left alone.
-    known = cat_columns.join(matched.select("table_fqn").distinct(), "table_fqn", "left_semi")
-    return wanted.join(column_lookup(known), ["table_fqn", "folded"], "left")
+    names = matched.select("table_fqn", F.col("table_code").alias("_code")).distinct()
+    known = short_join(cat_columns, names, ["table_fqn"], spread=["ordinal"])
+    lookup = _lookup(
+        known.repartition("_code", _folded(cat_columns, "name")), ["_code", "table_fqn"]
+    ).withColumnsRenamed({"table_fqn": "_fqn", "folded": "_folded"})
+    # A code may stand for two full names. As a pair of bounds the name is no key of the join.
+    one_name = (F.col("table_fqn") <= F.col("_fqn")) & (F.col("table_fqn") >= F.col("_fqn"))
+    met = (F.col("table_code") == F.col("_code")) & (F.col("folded") == F.col("_folded")) & one_name
+    return wanted.join(lookup, met, "left").drop("_code", "_fqn", "_folded")
 
 
 def unmatched_tables(src_tables: DataFrame, matched: DataFrame, options: PlanOptions) -> DataFrame:

@@ -40,6 +40,31 @@ def spread_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
+#: Bytes of a list that `short_join` sends to every task.
+MOST_BROADCAST = 64 << 20
+
+
+def short_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: list[str],
+    how: str = "inner",
+    spread: list[str] | None = None,
+    most: int = MOST_BROADCAST,
+) -> DataFrame:
+    """Join a long table to a list of tables, which leaves the long table where it is.
+
+    Spark's own threshold is far below such a list, and the rows of `fact` are shuffled, texts and
+    all, where it does not broadcast. The list is measured first (one job over `dim`); one of more
+    than `most` bytes goes to `spread_join`.
+    """
+    texts = [F.coalesce(F.octet_length(name), F.lit(0)) for name, kind in dim.dtypes if kind == "string"]
+    size = sum(texts, F.lit(100 + 8 * len(dim.columns)).cast("bigint"))
+    if (dim.agg(F.sum(size)).first()[0] or 0) > most:
+        return spread_join(fact, dim, on, how, spread)
+    return fact.join(F.broadcast(dim), on, how)
+
+
 def hot_key_join(
     fact: DataFrame,
     dim: DataFrame,

@@ -29,8 +29,8 @@ from lexiframe.functions.text import (
     section_text,
     strip,
 )
-from lexiframe.operators.skew import made_once, spread_join
-from lexiframe.schemas import FIELD_COLUMNS, INDEX_ENTRY, INDEX_FIELDS, with_missing
+from lexiframe.operators.skew import made_once, short_join, spread_join
+from lexiframe.schemas import FIELD_COLUMNS, IN_LOWER_CASE, INDEX_ENTRY, INDEX_FIELDS, with_missing
 
 
 def normalize_sources(
@@ -224,12 +224,14 @@ def relational_columns(
     if wanted is not None:
         known = known.join(wanted.select("table_code"), "table_code", "left_semi")
     named = with_column_name(
-        spread_join(coded, known, ["table_code"], "left_semi", spread=["id"]), "field_name"
+        short_join(coded, known, ["table_code"], "left_semi", spread=["id"]), "field_name"
     )
-    present = [name for name in FIELD_COLUMNS if name in fields.columns and name != "module_code"]
+    order = ["table_id", "id"]
+    present = [n for n in FIELD_COLUMNS if n in fields.columns and n not in ("module_code", *order)]
+    # The order leads the row, so that it travels once.
     last = (
         named.groupBy("table_code", "column_name")
-        .agg(F.max_by(F.struct(present), F.struct("table_id", "id")).alias("row"))
+        .agg(F.max(F.struct(*order, *present)).alias("row"))
         .select("table_code", "column_name", "row.*")
     )
     source_ref = F.concat(F.lit(f"{path}:fields:"), "table_id", F.lit("."), "field_name")
@@ -240,7 +242,7 @@ def _source_columns(rows: DataFrame) -> DataFrame:
     full = with_missing(with_legacy_description(rows, "_legacy"), ["help", "content"])
     return full.select(
         "table_code",
-        "column_name",
+        F.col("column_name").alias("column_name", metadata=IN_LOWER_CASE),
         clean_text(F.col("label")).alias("label"),
         F.col("_legacy").alias("description"),
         clean_text(F.col("help")).alias("help"),
@@ -407,7 +409,7 @@ def csv_columns(records: DataFrame, prefix: str = DEFAULT_PREFIX) -> DataFrame:
     nothing = F.lit(None).cast("string")
     return last.select(
         "table_code",
-        F.col("name").alias("column_name"),
+        F.col("name").alias("column_name", metadata=IN_LOWER_CASE),
         clean_text(F.col("row.column_label")).alias("label"),
         clean_description(F.col("row.column_description")).alias("description"),
         nothing.alias("help"),

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Metadata of a column whose values are in lower case already.
+IN_LOWER_CASE = {"lower_case": True}
+
 FIELD_COLUMNS = [
     "id",
     "module_code",
